@@ -27,8 +27,12 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column, so that sums added in another order compare equal."""
+    """Round every double column, so that sums added in another order compare equal.
+
+    The shift keeps exact half-way values (averages of few-digit numbers) off the tie.
+    """
+    shift = 10.0 ** -(digits + 3)
     return df.select(
-        *[F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f"`{f.name}`")
+        *[F.round(F.col(f"`{f.name}`") + shift, digits).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f"`{f.name}`")
           for f in df.schema]
     )

@@ -13,6 +13,28 @@ def view(name: str, deps: tuple[str, ...], sql: str) -> None:
     VIEWS[name] = (deps, sql.strip())
 
 
+def _off_the_tie(sql: str) -> str:
+    """``round(x, 6)`` -> ``round(x + 1e-9, 6)``: an average may sit exactly half-way
+    between two results, where the order of additions would decide; the Spark side
+    (``registry.rounded``) shifts by the same amount."""
+    out, i = [], 0
+    while (start := sql.find("round(", i)) >= 0:
+        depth, j, comma = 1, start + 6, -1
+        while depth:
+            ch = sql[j]
+            depth += (ch == "(") - (ch == ")")
+            if ch == "," and depth == 1:
+                comma = j
+            j += 1
+        inner = sql[start + 6 : j - 1]
+        if comma >= 0 and sql[comma + 1 : j - 1].strip() == "6":
+            out.append(sql[i:start] + "round(" + _off_the_tie(sql[start + 6 : comma]) + " + 1e-9, 6)")
+        else:
+            out.append(sql[i:start] + "round(" + _off_the_tie(inner) + ")")
+        i = j
+    return "".join(out) + sql[i:]
+
+
 def sql_with(names: str, query: str) -> str:
     """``names``: space-separated views used by ``query``."""
     ordered: list[str] = []
@@ -24,6 +46,7 @@ def sql_with(names: str, query: str) -> str:
             visit(d)
         ordered.append(n)
 
+    query = _off_the_tie(query)
     for n in names.split():
         visit(n)
     if not ordered:

@@ -10,16 +10,20 @@ from ..plans import gold, market, silver
 from ..session import stage
 from ..sources import adapter
 
-STAMP = F.lit  # literal timestamps keep results reproducible
-
-
 def silver_market(spark: SparkSession, sf: str) -> DataFrame:
     raw = stage(adapter.raw_market(spark, sf), "raw-market")
     return stage(market.standardize(raw, F.lit(adapter.STAMP)), "market")
 
 
+def loan_market(spark: SparkSession, sf: str) -> DataFrame:
+    """The two series loans are priced with; the other branches are pruned by Catalyst."""
+    raw = adapter.raw_market(spark, sf)
+    ten_year = market.treasury_rates(raw.where("data_type = 'treasury_10y'"))
+    return stage(ten_year.unionByName(market.cap_rates(raw.where("data_type = 'cap_rate'"))), "loan-market")
+
+
 def now(spark: SparkSession, sf: str) -> feat.CurrentMarket:
-    return feat.current_market(silver_market(spark, sf))
+    return feat.current_market(loan_market(spark, sf))
 
 
 def dated_loans(spark: SparkSession, sf: str) -> DataFrame:

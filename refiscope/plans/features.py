@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import finance as fin
-from ..session import stage
+from ..session import constant_table, stage
 
 
 @dataclass(frozen=True)
@@ -22,7 +22,7 @@ class CurrentMarket:
 
 def with_origination_treasury(loans: DataFrame) -> DataFrame:
     """Average treasury of the origination year, 2.5 outside the known years."""
-    years = loans.sparkSession.createDataFrame(C.TREASURY_BY_YEAR, "_year int, _rate double")
+    years = constant_table(loans.sparkSession, C.TREASURY_BY_YEAR, "_year int, _rate double")
     return (
         loans.join(years, F.col("origination_year") == F.col("_year"), "left")
         .withColumn("treasury_at_origination", F.coalesce("_rate", F.lit(C.DEFAULT_TREASURY_BY_YEAR)))
@@ -59,7 +59,7 @@ def latest_cap_rates(market: DataFrame) -> DataFrame:
         "cap_type", F.when(F.col("n_national") > 0, F.col("national")).otherwise(F.col("metro_mean")).alias("cap_rate")
     ).where("cap_rate is not null")
     if by_type.isEmpty():
-        picked = market.sparkSession.createDataFrame(C.DEFAULT_CAP_BY_TYPE, "cap_type string, cap_rate double")
+        picked = constant_table(market.sparkSession, C.DEFAULT_CAP_BY_TYPE, "cap_type string, cap_rate double")
     return picked
 
 

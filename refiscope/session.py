@@ -64,3 +64,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def constant_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few constant rows as inline ``VALUES``: Catalyst knows their exact size, so a
+    join with them is broadcast without a hint."""
+
+    def text(v) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return str(v).upper()
+        if isinstance(v, float):
+            return f"{v!r}D"
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "\\'") + "'"
+
+    columns = [c.strip().split(" ") for c in ddl.split(",")]
+    names = ", ".join(n for n, _ in columns)
+    values = ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows)
+    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in columns)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import finance as fin
+from ..session import stage
 from .market_feeds import assemble, compounded_index
 
 REFERENCE_DATE = "2025-06-30"
@@ -150,17 +151,30 @@ def _tagged(df: DataFrame, data_type: str, frequency: str, series_id: str, ptype
     )
 
 
+def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass over the orders: key sums per day, status, type and metro.
+
+    All market series are sums over this table, which is bounded by the calendar; it is
+    staged so that the orders are scanned and joined once.
+    """
+    keys = ["obs_date", "m", "q", "quarter", "o_orderstatus", "property_type", "metro"]
+    return stage(observations(spark, sf_dir).groupBy(*keys).agg(F.sum("o_orderkey").alias("total")), "daily-totals")
+
+
+def _growth(daily: DataFrame) -> DataFrame:
+    return daily.groupBy("quarter").agg(((F.sum("total") % 60 - 25) / 1000.0).alias("annual_growth"))
+
+
 def growth_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(quarter, annual_growth) of the price index."""
-    total = F.sum("o_orderkey")
-    return observations(spark, sf_dir).groupBy("quarter").agg(((total % 60 - 25) / 1000.0).alias("annual_growth"))
+    return _growth(daily_totals(spark, sf_dir))
 
 
 def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tall market observations: several a month for treasuries, gaps, quarter labels,
     missing and out-of-range values."""
-    obs = observations(spark, sf_dir)
-    total = F.sum("o_orderkey")
+    obs = daily_totals(spark, sf_dir)
+    total = F.sum("total")
     ten = obs.where("m % 7 <> 3").groupBy("obs_date", "m").agg(((150 + 2 * F.col("m") + total % 40) / 100.0).alias("value"))
     five = obs.where("o_orderstatus = 'F' and m % 5 <> 2").groupBy("obs_date", "m").agg(
         ((130 + 2 * F.col("m") + total % 40) / 100.0).alias("value")
@@ -177,7 +191,7 @@ def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dated = lambda df: df.withColumn("observation_date", F.col("obs_date").cast("string"))
     quarterly = lambda df: df.withColumnRenamed("quarter", "observation_date")
-    index = compounded_index(growth_by_quarter(spark, sf_dir)).select("observation_date", "value")
+    index = compounded_index(_growth(obs)).select("observation_date", "value")
     return assemble(
         _tagged(dated(ten), "treasury_10y", "monthly", "DGS10"),
         _tagged(dated(five), "treasury_5y", "monthly", "DGS5"),

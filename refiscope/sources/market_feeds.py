@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import constant_table
 
 TALL = ["data_type", "observation_date", "value", "frequency", "property_type", "metro", "series_id", "source"]
 
@@ -57,7 +58,7 @@ def wide_cap_rates(wide: DataFrame, id_column: str = "property_type") -> DataFra
 
 
 def metro_adjustments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(m, float(a)) for m, a, _ in C.METROS], "metro string, adjustment_bps double")
+    return constant_table(spark, [(m, float(a)) for m, a, _ in C.METROS], "metro string, adjustment_bps double")
 
 
 def metro_cap_rates(national: DataFrame, adjustments: DataFrame) -> DataFrame:
