@@ -250,3 +250,5 @@ view("snap_features", ("snap_loans", "now_caps", "now_treasury"), features_sql("
 view("state", ("features",), f"""
 SELECT *, {TIER} AS distress_tier, new_dscr - dscr_at_origination AS dscr_change, current_ltv - ltv_at_origination AS ltv_change FROM features
 """)
+
+from .scorecard import PD_SQL as PD  # noqa: E402
