@@ -145,14 +145,14 @@ def observation_dates(spark, sf):
 @query("loans_within_market_history", sql_with("elig", "SELECT loan_id, maturity_date FROM elig"))
 def loans_within_market_history(spark, sf):
     dated = frame.with_observation_dates(adapter.loans(spark, sf))
-    return frame.within_market_history(dated, asof.treasury_range(V.loan_market(spark, sf))).select("loan_id", "maturity_date")
+    return frame.within_market_history(dated, frame.history_bounds(V.loan_market(spark, sf))).select("loan_id", "maturity_date")
 
 
 @query("loans_within_market_history_open_end", sql_with("tobs market", """
 SELECT loan_id, maturity_date FROM tobs WHERE t_obs >= (SELECT min(observation_date)::DATE FROM market WHERE data_type = 'treasury_10y')"""))
 def loans_within_market_history_open_end(spark, sf):
     dated = frame.with_observation_dates(adapter.loans(spark, sf))
-    return frame.within_market_history(dated, asof.treasury_range(V.loan_market(spark, sf)), need_maturity=False).select("loan_id", "maturity_date")
+    return frame.within_market_history(dated, frame.history_bounds(V.loan_market(spark, sf)), need_maturity=False).select("loan_id", "maturity_date")
 
 
 @query("features_at_observation_date", sql_with("obsf", "SELECT loan_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in C.NUMERIC_FEATURES) + " FROM obsf"))

@@ -18,11 +18,16 @@ from ..operators import asof, encode
 class MarketCurves:
     treasury: asof.Curve
     caps: asof.Curve
-    history: DataFrame  # one row: market_start, market_end
+    history: tuple[str, str]  # first and last treasury date
+
+
+def history_bounds(market: DataFrame) -> tuple[str, str]:
+    """Treasury history as two literals, so that the filter reaches the loan scan."""
+    return tuple(asof.treasury_range(market).first())
 
 
 def market_curves(market: DataFrame) -> MarketCurves:
-    return MarketCurves(asof.treasury_curve(market), asof.cap_rate_curve(market), asof.treasury_range(market))
+    return MarketCurves(asof.treasury_curve(market), asof.cap_rate_curve(market), history_bounds(market))
 
 
 def _number(name: str) -> Column:
@@ -35,14 +40,11 @@ def with_observation_dates(loans: DataFrame) -> DataFrame:
     return dated.where("maturity_d is not null").withColumn("t_obs", observation_date("maturity_d"))
 
 
-def within_market_history(loans: DataFrame, history: DataFrame, need_maturity: bool = True) -> DataFrame:
+def within_market_history(loans: DataFrame, history: tuple[str, str], need_maturity: bool = True) -> DataFrame:
     """Observation date (and maturity, unless relaxed) inside the treasury history."""
-    out = loans.crossJoin(F.broadcast(history)).where(F.col("t_obs") >= F.col("market_start").cast("date"))  # one-row side
-    if need_maturity:
-        out = out.where(F.col("maturity_d") <= F.col("market_end").cast("date"))
-    else:
-        out = out.where("origination_d is not null")
-    return out.drop("market_start", "market_end")
+    first, last = (F.lit(d).cast("date") for d in history)
+    out = loans.where(F.col("t_obs") >= first)
+    return out.where(F.col("maturity_d") <= last) if need_maturity else out.where("origination_d is not null")
 
 
 def _balance() -> Column:
