@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["silver_queries", "gold_queries", "frame_queries", "risk_queries"]
+MODULES = ["silver_queries", "gold_queries", "frame_queries", "risk_queries", "table_queries", "model_queries"]
 
 
 def load():
