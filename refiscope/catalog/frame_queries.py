@@ -101,16 +101,16 @@ view("labelled_plain", ("obsf",), label_sql(False))
 view("scored", ("labelled",), f"SELECT *, {PD} AS pd FROM labelled")
 
 
-def curves(spark, sf):
-    return frame.market_curves(V.loan_market(spark, sf))
+def curves(spark, sf, market=None):
+    return frame.market_curves(market if market is not None else V.loan_market(spark, sf))
 
 
 def labelled(spark, sf, shocks=True):
     return stage(frame.labelled_loans(adapter.loans(spark, sf), curves(spark, sf), shocks), "labelled")
 
 
-def scored(spark, sf):
-    return stage(scorecard.score(frame.labelled_loans(adapter.loans(spark, sf), curves(spark, sf))), "scored")
+def scored(spark, sf, market=None):
+    return stage(scorecard.score(frame.labelled_loans(adapter.loans(spark, sf), curves(spark, sf, market))), "scored")
 
 
 # --- as-of lookups ----------------------------------------------------------------

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import configure
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 SQL: dict[str, str] = {}
+MODULE_OF: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -18,7 +21,8 @@ def query(name: str, sql: str | None = None):
     def add(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(configure(spark), sf_dir)
+        MODULE_OF[name] = fn.__module__.rsplit(".", 1)[-1]
         if sql is not None:
             SQL[name] = sql
         return fn

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import finance as fin
 from ..operators import explain, metrics
 from ..plans import frame, stress, survival
 from ..session import stage
@@ -53,19 +52,15 @@ FROM crossed_f JOIN base_pd ON b_id = loan_id
 """)
 
 
-def portfolio(spark, sf):
+def portfolio(spark, sf, market=None):
     """Current state with observation features, for scoring (no date filter)."""
-    market = V.loan_market(spark, sf)
-    from ..plans import features as feat
-
-    state = feat.loan_features(V.dated_loans(spark, sf), feat.current_market(market), F.lit(adapter.STAMP)).withColumn(
-        "distress_tier", fin.distress_tier())
+    market = market if market is not None else V.loan_market(spark, sf)
     curves = frame.market_curves(market)
-    return frame.observation_features(frame.with_observation_dates(state), curves)
+    return frame.observation_features(frame.with_observation_dates(V.state(spark, sf, market)), curves)
 
 
-def results(spark, sf):
-    return stress.run_scenarios(portfolio(spark, sf), stress.scenario_table(spark), scorecard.score)
+def results(spark, sf, market=None):
+    return stress.run_scenarios(portfolio(spark, sf, market), stress.scenario_table(spark), scorecard.score)
 
 
 @query("portfolio_numeric_coercion", sql_with("raw_loans", """
@@ -186,13 +181,9 @@ SELECT loan_id, round(coalesce(min(gm) FILTER (exp(-h * hr) <= 0.5e0), 999e0), 1
 """)
 
 
-def surv_frame(spark, sf):
-    market = V.loan_market(spark, sf)
-    from ..plans import features as feat
-
-    state = feat.loan_features(V.dated_loans(spark, sf), feat.current_market(market), F.lit(adapter.STAMP)).withColumn(
-        "distress_tier", fin.distress_tier())
-    return stage(survival.survival_frame(state, frame.market_curves(market)), "survival")
+def surv_frame(spark, sf, market=None):
+    market = market if market is not None else V.loan_market(spark, sf)
+    return stage(survival.survival_frame(V.state(spark, sf, market), frame.market_curves(market)), "survival")
 
 
 @query("survival_frame", sql_with("surv", """
@@ -239,9 +230,10 @@ def concordance_index(spark, sf):
 @query("explanations_with_survival", sql_with("pobsf surv_pred", f"""
 SELECT loan_id, round({PD}, 4) AS predicted_pd, predicted_median_months_to_distress FROM pobsf LEFT JOIN surv_pred USING (loan_id)"""))
 def explanations_with_survival(spark, sf):
-    rows = surv_frame(spark, sf)
+    market = V.loan_market(spark, sf)
+    rows = surv_frame(spark, sf, market)
     pred = survival.predict(rows, COX, survival.baseline_hazard(rows, COX))
-    scored = with_drivers(scorecard.score(portfolio(spark, sf)))
+    scored = with_drivers(scorecard.score(portfolio(spark, sf, market)))
     return explain.loan_explanations(scored, "pd", "drivers", pred).select("loan_id", "predicted_pd", "predicted_median_months_to_distress")
 
 

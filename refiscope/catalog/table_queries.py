@@ -222,10 +222,12 @@ UNION ALL SELECT 'dim_metro', count(DISTINCT metro_area) FROM state UNION ALL SE
 def star_schema_export(spark, sf):
     from ..operators import explain
 
-    rows = surv_frame(spark, sf)
+    market = V.loan_market(spark, sf)
+    rows = surv_frame(spark, sf, market)
     return export.export_star_schema(
-        scratch_path(spark, "star"), stage(V.state(spark, sf), "state"), gold.distress_history(V.snapshot_features(spark, sf)),
-        results(spark, sf), explain.explanation_rows(with_drivers(scored(spark, sf)), "pd", "drivers", 10),
+        scratch_path(spark, "star"), stage(V.state(spark, sf, market), "state"),
+        gold.distress_history(V.snapshot_features(spark, sf, market)), results(spark, sf, market),
+        explain.explanation_rows(with_drivers(scored(spark, sf, market)), "pd", "drivers", 10),
         survival.predict(rows, COX, survival.baseline_hazard(rows, COX)),
     )
 
@@ -246,9 +248,9 @@ def _streamed(spark, sf):
     snaps = silver.add_time_to_maturity(adapter.loan_snapshots(spark, sf), adapter.REFERENCE_DATE)
     snaps.write.parquet(f"{root}/landed")
     schema = spark.read.parquet(f"{root}/landed").schema
-    stream.append_snapshots(spark, f"{root}/landed", schema, V.now(spark, sf), f"{root}/history", f"{root}/checkpoint")
-    # a second run finds no new files and must not change anything
-    stream.append_snapshots(spark, f"{root}/landed", schema, V.now(spark, sf), f"{root}/history", f"{root}/checkpoint")
+    now = V.now(spark, sf)
+    for _ in range(2):  # the second run finds no new files and must not change anything
+        stream.append_snapshots(spark, f"{root}/landed", schema, now, f"{root}/history", f"{root}/checkpoint")
     return T.read_table(spark, f"{root}/history")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import finance as fin
 from ..plans import features as feat
-from ..plans import gold, market, silver
+from ..plans import market, silver
 from ..session import stage
 from ..sources import adapter
 
@@ -22,29 +23,26 @@ def loan_market(spark: SparkSession, sf: str) -> DataFrame:
     return stage(ten_year.unionByName(market.cap_rates(raw.where("data_type = 'cap_rate'"))), "loan-market")
 
 
-def now(spark: SparkSession, sf: str) -> feat.CurrentMarket:
-    return feat.current_market(loan_market(spark, sf))
+def now(spark: SparkSession, sf: str, market_rates: DataFrame | None = None) -> feat.CurrentMarket:
+    return feat.current_market(market_rates if market_rates is not None else loan_market(spark, sf))
 
 
 def dated_loans(spark: SparkSession, sf: str) -> DataFrame:
     return silver.add_time_to_maturity(adapter.loans(spark, sf), adapter.REFERENCE_DATE)
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    return feat.loan_features(dated_loans(spark, sf), now(spark, sf), F.lit(adapter.STAMP))
+def features(spark: SparkSession, sf: str, market_rates: DataFrame | None = None) -> DataFrame:
+    return feat.loan_features(dated_loans(spark, sf), now(spark, sf, market_rates), F.lit(adapter.STAMP))
 
 
-def snapshot_features(spark: SparkSession, sf: str) -> DataFrame:
+def snapshot_features(spark: SparkSession, sf: str, market_rates: DataFrame | None = None) -> DataFrame:
     snaps = silver.add_time_to_maturity(adapter.loan_snapshots(spark, sf), adapter.REFERENCE_DATE)
-    return feat.loan_features(snaps, now(spark, sf), F.col("snapshot_at"))
+    return feat.loan_features(snaps, now(spark, sf, market_rates), F.col("snapshot_at"))
 
 
-def state(spark: SparkSession, sf: str) -> DataFrame:
+def state(spark: SparkSession, sf: str, market_rates: DataFrame | None = None) -> DataFrame:
     """Portfolio with tier columns: one snapshot per loan, so no ranking is needed."""
-    f = features(spark, sf)
-    from ..functions import finance as fin
-
-    return f.withColumns(
+    return features(spark, sf, market_rates).withColumns(
         {
             "distress_tier": fin.distress_tier(),
             "dscr_change": F.col("new_dscr") - F.col("dscr_at_origination"),

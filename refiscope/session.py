@@ -7,11 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Wide expression blocks generate methods the JVM refuses to compile (more than 8000 bytes
+# of bytecode run interpreted); past the limit Spark uses its split-up projections instead.
+_RUNTIME_SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 _SESSION_SETTINGS = {
+    **_RUNTIME_SETTINGS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -33,6 +40,23 @@ def local_session(cores: int | str = "*", app: str = "refiscope", **extra: str)
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings the plans rely on to a session made elsewhere."""
+    for key, value in _RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of an input that arrives in fewer scan tasks than there are cores.
+
+    One small file is one task, however much work follows it. A large input already has
+    more tasks than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

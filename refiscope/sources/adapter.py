@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import finance as fin
-from ..session import stage
+from ..session import spread, stage
 from .market_feeds import assemble, compounded_index
 
 REFERENCE_DATE = "2025-06-30"
@@ -37,7 +37,7 @@ def _lookup(key: Column, pairs) -> Column:
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with customer segment and nation; join sides are sized from file statistics."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
@@ -204,7 +204,7 @@ def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loan_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several dated states per loan, one per order line, with its own balance and NOI."""
-    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey", "l_shipdate")
+    line = spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey", "l_shipdate")
     seconds = F.col("l_linenumber") * 3600 + F.col("l_partkey") % 3600
     at = F.date_add(F.add_months(F.col("l_shipdate").cast("date"), 240), 0).cast("timestamp")
     stamp = F.date_format(F.timestamp_seconds(F.unix_timestamp(at) + seconds), "yyyy-MM-dd'T'HH:mm:ss")

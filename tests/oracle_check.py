@@ -25,6 +25,9 @@ def connect(sf_dir: str):
     return con
 
 
+SPARK_DONE = [0.0]
+
+
 def _cell(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return (0, "")
@@ -47,6 +50,7 @@ def compare(spark_df, con, sql: str) -> str | None:
     if len(set(cols)) != len(cols):
         return "duplicate column names"
     mine = [tuple(r) for r in spark_df.select(*cols).collect()]
+    SPARK_DONE[0] = time.time()
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     if sorted(names) != cols:
@@ -72,6 +76,7 @@ def compare(spark_df, con, sql: str) -> str | None:
 
 def main() -> int:
     import __spark_entry__ as entry
+    from refiscope.catalog.registry import MODULE_OF
     from refiscope.session import local_session
 
     args = sys.argv[1:]
@@ -86,7 +91,7 @@ def main() -> int:
     oracle = entry.oracle_sql()
     failures = 0
     for name, fn in entry.queries().items():
-        if args and not any(a in name or a == fn.__module__.split(".")[-1] for a in args):
+        if args and not any(a in name or a == MODULE_OF[name] for a in args):
             continue
         t0 = time.time()
         try:
@@ -101,7 +106,8 @@ def main() -> int:
             status = f"ERROR {type(e).__name__}: {str(e)[:600]}"
         if status.startswith(("DIFF", "ERROR")):
             failures += 1
-        print(f"{time.time() - t0:6.1f}s {name}: {status}", flush=True)
+        spark_s = max(SPARK_DONE[0] - t0, 0.0)
+        print(f"{time.time() - t0:6.1f}s (spark {spark_s:.1f}) {name}: {status}", flush=True)
     print("failures:", failures)
     return failures
 
