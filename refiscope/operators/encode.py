@@ -91,7 +91,13 @@ class LeakageError(Exception):
 def label_correlations(frame: DataFrame, features: Sequence[str], label: str, k: int = 5) -> DataFrame:
     """Top ``k`` features by absolute correlation with the label on train rows; one pass."""
     train = frame.where("split = 'train'")
-    one = train.agg(*[F.corr(F.col(f"`{c}`").cast("double"), F.col(label).cast("double")).alias(c) for c in features])
+    y = F.col(label).cast("double")
+
+    def corr(c: str) -> Column:  # a constant column has no correlation; F.corr would divide by zero
+        x = F.col(f"`{c}`").cast("double")
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(c)
+
+    one = train.agg(*[corr(c) for c in features])
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.abs(F.col(f"`{c}`")).alias("abs_corr")) for c in features])
     rows = one.select(F.explode(pairs).alias("p")).select("p.*").where("abs_corr is not null")
     return rows.orderBy(F.desc("abs_corr"), "feature").limit(k)
