@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .ordered import running_totals
 
 EPS = 1e-15
@@ -113,18 +114,20 @@ def champion_check(incumbent: DataFrame, challenger: DataFrame, share: float = 0
     )
 
 
-def concordance(df: DataFrame, time: str, event: str, risk: str, bits: int = 17) -> DataFrame:
+def concordance(df: DataFrame, time: str, event: str, risk: str) -> DataFrame:
     """Share of comparable pairs in which the earlier event carries the higher risk.
 
     A pair is comparable when one loan has the event and the other lasts longer (or is
     censored at the same time); equal risks count one half. No pairs are formed: times
-    are integers below ``2**(bits-1)``, every loan is counted in the ``bits`` dyadic
-    intervals holding its time, each event asks the intervals that tile the times after
-    its own, and inside an interval a running count over risk answers "how many below".
+    are non-negative integers, every loan is counted in the dyadic intervals holding its
+    time (one per bit of the largest time), each event asks the intervals that tile the
+    times after its own, and inside an interval a running count over risk answers "how
+    many below".
     """
     key = (F.col(time).cast("bigint") * 2 + (1 - F.col(event))).alias("key")
     rows = df.select(key, F.col(event).cast("int").alias("event"), F.col(risk).cast("double").alias("risk"))
-    rows = rows.groupBy("key", "event", "risk").agg(F.count(F.lit(1)).alias("w"))
+    rows = stage(rows.groupBy("key", "event", "risk").agg(F.count(F.lit(1)).alias("w")), "risk-groups")
+    bits = max(int(rows.agg(F.max("key")).first()[0] or 0).bit_length(), 1)
     levels = F.sequence(F.lit(0), F.lit(bits - 1))
     node = F.expr("shiftright(key, level)")
     at = rows.select("key", "event", "risk", "w", F.explode(levels).alias("level")).withColumn("node", node)

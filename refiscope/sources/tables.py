@@ -63,13 +63,11 @@ def table_schema(spark: SparkSession, path: str) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     """Write Parquet. ``mode='overwrite'`` replaces the table, ``'append'`` adds files.
 
-    Rows are clustered by partition value first so that a task writes few files; the
-    extra ``_spread`` key keeps one hot partition value from landing in one task.
+    With a partition column the rows are rebalanced by it first: adaptive execution sizes
+    the write tasks, so a small partition becomes few files and a hot partition value is
+    split over many tasks.
     """
-    writer_df = df
-    if partition_by:
-        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(16))
-        writer_df = df.withColumn("_spread", spread).repartition(partition_by, "_spread").drop("_spread")
+    writer_df = df.hint("rebalance", partition_by) if partition_by else df
     writer = writer_df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
