@@ -82,9 +82,9 @@ def unit_conversions_and_safe_division(spark, sf):
         F.round(fin.bps_to_decimal("rate_gap_bps"), 8).alias("gap_decimal"),
         F.round(fin.percent_to_decimal("current_cap_rate"), 8).alias("cap_decimal"),
         F.round(fin.decimal_to_bps("rate_gap"), 4).alias("gap_bps"),
-        F.round(fin.safe_divide("noi_annual", "current_balance"), 6).alias("yield_or_null"),
+        F.round(fin.safe_divide("noi_annual", "current_balance") + 1e-9, 6).alias("yield_or_null"),
         fin.safe_divide("noi_annual", F.col("current_balance") * 0, 99.0).alias("yield_or_default"),
-        F.round(F.log1p("original_balance"), 6).alias("log_balance"),
+        F.round(F.log1p("original_balance") + 1e-9, 6).alias("log_balance"),
     ), 8)
 
 
