@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, url_filter
+from . import chat, pieces, quality, simhash, url_filter
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,14 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+# --- 5: quality classifier
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # --- 7: SentencePiece
 
 
@@ -67,6 +75,15 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+# --- 8: SimHash
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("print")).alias("fingerprint"), "component_id")
+
+
 # --- 10: chat formatting
 
 PROBE = "</s>[INST] ok [/INST]"
