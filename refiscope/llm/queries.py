@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, quality, simhash, url_filter
+from . import chat, pieces, quality, simhash, suffix_dedup, url_filter
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,14 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+# --- 3: suffix-array dedup
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
 # --- 5: quality classifier
 
 
