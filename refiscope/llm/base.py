@@ -15,3 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, UPPER.lower())
+
+
+def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text (null as empty) and k1, k2, which name a row by id and text.
+
+    Rows that are equal in both share the name; results joined on it reach each of them.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("text"))
+    return own.withColumn("k1", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))).withColumn("k2", F.xxhash64("text"))

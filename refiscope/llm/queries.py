@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, quality, simhash, suffix_dedup, url_filter
+from . import chat, decontaminate, licences, pieces, quality, simhash, suffix_dedup, url_filter
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,14 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
 
 
+# --- 4: benchmark decontamination
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # --- 5: quality classifier
 
 
@@ -92,6 +100,44 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("print")).alias("fingerprint"), "component_id")
 
 
+# --- 9: license scans
+
+
+@query
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+_PLACES = {
+    p: "list_filter(range(len(w)), lambda i: " + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(p.split(" "))) + ")"
+    for p in licences.PHRASES
+}
+_SETS = licences.template_tokens(licences.TEMPLATES)
+_BASE = "list_filter([" + ", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(licences.PHRASES.values())) + "], lambda x: x IS NOT NULL)"
+SQL["op9_license_scans"] = f"""
+WITH own AS (
+    SELECT row_number() OVER () AS k, doc_id, translate(coalesce(text, ''), '{"ABCDEFGHIJKLMNOPQRSTUVWXYZ"}', '{"abcdefghijklmnopqrstuvwxyz"}') AS t FROM documents
+), cut AS (
+    SELECT k, doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM own
+), placed AS (
+    SELECT k, doc_id, len(w) AS n_words, {", ".join(f"{sql} AS p{i}" for i, sql in enumerate(_PLACES.values()))} FROM cut
+), templates AS (
+    SELECT * FROM (VALUES {", ".join(f"('{label}', {tokens!r})" for label, tokens in _SETS)}) AS v(label, tokens)
+), lines AS (
+    SELECT k, regexp_extract_all(unnest(string_split(t, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM cut
+), shared AS (
+    SELECT k, label, len(list_intersect(tokens, w)) AS both_, len(tokens) AS size_ FROM lines, templates
+), found AS (
+    SELECT k, list(DISTINCT label) AS more, max(both_ / size_) AS best FROM shared WHERE both_ >= ceil(0.8 * size_ - 1e-9) GROUP BY k
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(p0) + len(p1) + len(p2) AS BIGINT) AS n_base,
+       list_min(p0 || p1 || p2) AS first_word, list_max(p0 || p1 || p2) AS last_word,
+       array_to_string(list_sort({_BASE}), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct({_BASE} || coalesce(more, []))), ',') AS labels,
+       CASE WHEN len(p0) + len(p1) + len(p2) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+FROM placed LEFT JOIN found USING (k)
+"""
+
 # --- 10: chat formatting
 
 PROBE = "</s>[INST] ok [/INST]"
