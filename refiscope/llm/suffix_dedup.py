@@ -218,7 +218,8 @@ def repeated_starts(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
     every = named.where(F.length("raw") >= length).mapInPandas(lambda b: _joined(find(b), 20_000), schema)
     every = stage(every, "suffix-anchors")
     shared = every.groupBy("bucket").agg(F.count("*").alias("all")).where("all > 1").select("bucket")
-    every = stage(every.join(shared, "bucket"), "suffix-shared")
+    # From files both sides are shuffled for the join, so a hot bucket can be split.
+    every = stage(every.join(stage(shared, "suffix-buckets"), "bucket"), "suffix-shared")
 
     entry = F.struct("k1", "k2", "lo", "hi", "at")
     contexts = stage(every.groupBy("bucket", "whole").agg(F.count("*").alias("n"), F.min(entry).alias("one")), "suffix-contexts")
