@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, licences, pieces, quality, simhash, suffix_dedup, url_filter
+from . import chat, decontaminate, html_text, licences, multi_index, pieces, quality, simhash, suffix_dedup, url_filter
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,14 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+# --- 2: embedding near-dedup
+
+
+@query
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 # --- 3: suffix-array dedup
 
 
