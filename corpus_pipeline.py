@@ -5,18 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from refiscope.llm import pieces
+from refiscope.llm import decontaminate, pieces, quality, simhash, suffix_dedup
 from refiscope.llm.base import table
 from refiscope.session import stage
 
 
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each SimHash group."""
+    return simhash.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts strings of 400 bytes that occur twice out of the texts; n_chars follows."""
+    cut = suffix_dedup.remove_repeats(docs)
+    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.lit(0))).select(docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds what SentencePiece makes of every text: number of ids and digests of ids and decoded text."""
     return pieces.digests(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("encode", encode)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", accept_quality),
+    ("simhash near-dedup", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("benchmark decontamination", drop_benchmark),
+    ("sentencepiece", encode),
+]
 
 #: SQL can't express the stages; the tests compare each with a brute-force version.
 ORACLE_SQL = None
@@ -28,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = stage(docs, name)
+            docs = stage(docs, name.replace(" ", "-"))
     return docs

@@ -130,6 +130,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _learn(known: DataFrame, labels: DataFrame, doc_id: str, label: str) -> Discriminant | None:
+    taught = labels.where(~held_out(F.col(doc_id))).select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
+    return fit(known.join(taught.where("label is not null"), "doc_id"))
+
+
 def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted for every row of ``docs``.
 
@@ -138,8 +143,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     classes every score is 0.5. Labels and other columns of ``docs`` are never read for a score.
     """
     known = stage(docs.select(F.col(doc_id).alias("doc_id"), measured(F.col(text)).alias("x")), "quality-statistics")
-    taught = labels.where(~held_out(F.col(doc_id))).select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
-    model = fit(known.join(taught.where("label is not null"), "doc_id"))
+    model = _learn(known, labels, doc_id, label)
 
     @F.pandas_udf("double")
     def scored(rows: pd.Series) -> pd.Series:
@@ -149,3 +153,21 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
     out = known.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scored("x").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> DataFrame:
+    """The rows of ``docs`` that ``score`` predicts as 1, all columns as they were.
+
+    The statistics of labelled documents are measured once to learn and every text once to judge,
+    so no text is shuffled.
+    """
+    known = stage(docs.select(F.col(doc_id).alias("doc_id"), measured(F.col(text)).alias("x")), "quality-statistics")
+    model = _learn(known, labels, doc_id, label)
+
+    @F.pandas_udf("boolean")
+    def fine(texts: pd.Series) -> pd.Series:
+        if model is None or not len(texts):
+            return pd.Series([True] * len(texts), dtype="bool")
+        return pd.Series(model.scores(np.array([statistics(t) for t in texts])) >= 0.5)
+
+    return docs.where(fine(F.col(text)))

@@ -123,5 +123,13 @@ def near_groups(docs: DataFrame, radius: int = 4, doc_id: str = "doc_id", text:
     return own.join(stage(known, "simhash-roots"), "print")
 
 
+def one_of_each(docs: DataFrame, radius: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose doc_id names their group, all columns as they were. Rows that share
+    a doc_id are one document; rows without one stay."""
+    groups = near_groups(docs, radius, doc_id, text).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = stage(groups, "simhash-gone").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, docs[doc_id].cast("bigint") == gone["_gone"], "left_anti")
+
+
 def hex_digits(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
