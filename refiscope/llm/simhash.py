@@ -73,11 +73,10 @@ def _near(x: Column, y: Column, radius: int) -> Column:
 
 def _forest(radius: int):
     @F.pandas_udf("array<struct<a:bigint,b:bigint>>")
-    def forest(groups: pd.Series) -> pd.Series:
+    def forest(all_prints: pd.Series, all_nodes: pd.Series) -> pd.Series:
         out = []
-        for group in groups:
-            prints = np.array([g["print"] for g in group], np.int64).view(np.uint64)
-            nodes = [g["node"] for g in group]
+        for prints, nodes in zip(all_prints, all_nodes, strict=True):
+            prints, nodes = prints.view(np.uint64), nodes.tolist()
             near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= radius
             labels = np.arange(len(nodes))
             while True:
@@ -106,7 +105,7 @@ def links(prints: DataFrame, radius: int = 4) -> DataFrame:
     dealt = members.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
     groups = dealt.groupBy("table", "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).agg(
         F.sort_array(F.collect_list(F.struct("node", "print"))).alias("group"))
-    trees = groups.where(F.size("group") > 1).select(F.explode(_forest(radius)("group")).alias("e")).select("e.a", "e.b")
+    trees = groups.where(F.size("group") > 1).select(F.explode(_forest(radius)(F.col("group.print"), F.col("group.node"))).alias("e")).select("e.a", "e.b")
     return pairs.unionByName(trees).distinct()
 
 
