@@ -172,7 +172,7 @@ SELECT *, date_diff('day', od, md) AS dd, greatest(date_diff('day', od, md) / 30
 """)
 view("h0", ("surv",), """
 SELECT dd, dm, sum(ev / w) OVER (ORDER BY dd) AS h FROM (
- SELECT dd, dm, ev, sum(w) OVER (ORDER BY dd DESC) AS w FROM (SELECT dd, max(dm) AS dm, sum(ev) AS ev, sum(hr) AS w FROM surv GROUP BY dd))
+ SELECT dd, dm, ev, sum(w) OVER (ORDER BY dd DESC) AS w FROM (SELECT greatest(dd, 30) AS dd, max(dm) AS dm, sum(ev) AS ev, sum(hr) AS w FROM surv GROUP BY 1))
 """)
 view("surv_pred", ("surv", "h0"), """
 SELECT loan_id, round(coalesce(min(gm) FILTER (exp(-h * hr) <= 0.5e0), 999e0), 1) AS predicted_median_months_to_distress,
@@ -193,8 +193,8 @@ def survival_frame(spark, sf):
 
 
 @query("kaplan_meier_curve", sql_with("surv", """
-SELECT CAST(dd AS INTEGER) AS duration_days, CAST(ev AS BIGINT) AS events, CAST(r AS BIGINT) AS at_risk, round(exp(sum(ln(1e0 - ev / r::DOUBLE)) OVER (ORDER BY dd)), 6) AS survival
-FROM (SELECT dd, ev, sum(n) OVER (ORDER BY dd DESC) AS r FROM (SELECT dd, sum(ev) AS ev, count(*) AS n FROM surv GROUP BY 1))"""))
+SELECT CAST(dd AS INTEGER) AS duration_days, CAST(ev AS BIGINT) AS events, CAST(r AS BIGINT) AS at_risk, CASE WHEN bool_or(ev >= r) OVER (ORDER BY dd) THEN 0e0 ELSE round(exp(sum(CASE WHEN r > ev THEN ln(1e0 - ev / r::DOUBLE) END) OVER (ORDER BY dd)), 6) END AS survival
+FROM (SELECT dd, ev, sum(n) OVER (ORDER BY dd DESC) AS r FROM (SELECT greatest(dd, 30) AS dd, sum(ev) AS ev, count(*) AS n FROM surv GROUP BY 1))"""))
 def kaplan_meier_curve(spark, sf):
     return rounded(survival.kaplan_meier(surv_frame(spark, sf)))
 
@@ -220,11 +220,11 @@ def survival_step_function(spark, sf):
 @query("concordance_index", sql_with("surv", """
 SELECT comparable::DOUBLE AS comparable, round(good / comparable, 6) AS concordance FROM (
  SELECT sum(a.w * b.w) AS comparable, sum(a.w * b.w * CASE WHEN a.r > b.r THEN 1e0 WHEN a.r = b.r THEN 0.5e0 ELSE 0e0 END) AS good
- FROM (SELECT dd, round(hr, 2) AS r, count(*) AS w FROM surv WHERE ev = 1 GROUP BY 1, 2) a
- JOIN (SELECT dd, ev, round(hr, 2) AS r, count(*) AS w FROM surv GROUP BY 1, 2, 3) b ON b.dd > a.dd OR (b.dd = a.dd AND b.ev = 0))"""))
+ FROM (SELECT greatest(dd, 30) AS dd, hr AS r, count(*) AS w FROM surv WHERE ev = 1 GROUP BY 1, 2) a
+ JOIN (SELECT greatest(dd, 30) AS dd, ev, hr AS r, count(*) AS w FROM surv GROUP BY 1, 2, 3) b ON b.dd > a.dd OR (b.dd = a.dd AND b.ev = 0))"""))
 def concordance_index(spark, sf):
-    rows = surv_frame(spark, sf).withColumn("risk", F.round(F.exp(survival.linear_predictor(COX)), 2))
-    return rounded(metrics.concordance(rows, "duration_days", "event_observed", "risk"))
+    rows = surv_frame(spark, sf).withColumns({"risk": F.exp(survival.linear_predictor(COX)), "day": survival.risk_days()})
+    return rounded(metrics.concordance(rows, "day", "event_observed", "risk"))
 
 
 @query("explanations_with_survival", sql_with("pobsf surv_pred", f"""
@@ -237,8 +237,26 @@ def explanations_with_survival(spark, sf):
     return explain.loan_explanations(scored, "pd", "drivers", pred).select("loan_id", "predicted_pd", "predicted_median_months_to_distress")
 
 
+def fitted_survival(spark, sf):
+    """Full feature matrix and the model fitted on its train rows."""
+    market = V.loan_market(spark, sf)
+    rows, features = survival.model_frame(V.state(spark, sf, market), frame.market_curves(market))
+    return rows, survival.fit_cox(rows.where("split = 'train'"), features)
+
+
 @query("cox_regression_coefficients")
 def cox_regression_coefficients(spark, sf):
-    rows = surv_frame(spark, sf).where("split = 'train'")
-    model = survival.fit_cox(rows, ["dscr_at_origination", "ltv_at_origination", "note_rate", "current_ltv_at_Tobs"])
-    return survival.coefficients_table(spark, model)
+    return survival.coefficients_table(spark, fitted_survival(spark, sf)[1])
+
+
+@query("cox_fitted_predictions")
+def cox_fitted_predictions(spark, sf):
+    rows, model = fitted_survival(spark, sf)
+    train = rows.where("split = 'train'")
+    return survival.predict(rows, model.coefficients, survival.baseline_hazard(train, model.coefficients))
+
+
+@query("cox_concordance_per_split")
+def cox_concordance_per_split(spark, sf):
+    rows, model = fitted_survival(spark, sf)
+    return survival.concordance_per_split(rows, model.coefficients)

@@ -84,7 +84,7 @@ view("terms", ("ord",), """
 SELECT o_orderkey AS loan_key, 'LN-' || o_orderkey AS loan_id, 'DEAL-' || (o_orderkey % 1000) AS deal_name,
   'PROP-' || o_orderkey AS property_id,
   CAST(od AS VARCHAR) AS origination_date,
-  CAST(CAST(od + to_months(CAST(term * 12 AS INTEGER)) AS DATE) AS VARCHAR) AS maturity_date,
+  CAST(CASE WHEN o_orderkey % 211 = 0 THEN od + CAST(o_orderkey % 45 AS INTEGER) ELSE CAST(od + to_months(CAST(term * 12 AS INTEGER)) AS DATE) + CAST(o_orderkey % 29 AS INTEGER) END AS VARCHAR) AS maturity_date,
   CAST(year(od) AS INTEGER) AS origination_year,
   round(o_totalprice * 100e0) AS original_balance,
   (30 + o_orderkey % 40) / 1000e0 AS note_rate,

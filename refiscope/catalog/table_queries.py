@@ -190,17 +190,17 @@ FROM (SELECT CAST(snapshot_at AS TIMESTAMP)::DATE AS d FROM snap_features) GROUP
 def history_by_calendar_month(spark, sf):
     hist = export.fact_loan_history(gold.distress_history(V.snapshot_features(spark, sf)))
     dated = hist.withColumn("date", F.substring("snapshot_at", 1, 10))
-    joined = dated.join(export.dim_date(spark), "date")
+    joined = dated.join(export.dim_date(spark, dated=dated), "date")
     return joined.groupBy("year", "quarter_name", "month_name").agg(
         F.count(F.lit(1)).alias("n_snapshots"), F.count_if("is_month_end").alias("n_month_end"))
 
 
 @query("calendar_of_maturities", sql_with("loans", """
 SELECT CAST(d AS VARCHAR) AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, last_day(d) = d AS is_month_end, count(loan_id) AS n_maturing
-FROM (SELECT CAST(unnest(generate_series(DATE '2015-01-01', DATE '2028-12-31', INTERVAL 1 DAY)) AS DATE) AS d) LEFT JOIN loans ON maturity_date = CAST(d AS VARCHAR) GROUP BY d"""))
+FROM (SELECT CAST(unnest(generate_series(DATE '2015-01-01', (SELECT greatest(DATE '2028-12-31', max(CAST(maturity_date AS DATE))) FROM loans), INTERVAL 1 DAY)) AS DATE) AS d) LEFT JOIN loans ON maturity_date = CAST(d AS VARCHAR) GROUP BY d"""))
 def calendar_of_maturities(spark, sf):
     per_day = adapter.loans(spark, sf).groupBy(F.col("maturity_date").alias("date")).agg(F.count(F.lit(1)).alias("n_maturing"))
-    out = export.dim_date(spark).join(per_day, "date", "left").fillna(0, ["n_maturing"])
+    out = export.dim_date(spark, dated=per_day).join(per_day, "date", "left").fillna(0, ["n_maturing"])
     return out.select("date", "year", "quarter", "month", "is_month_end", "n_maturing")
 
 

@@ -119,13 +119,16 @@ def concordance(df: DataFrame, time: str, event: str, risk: str) -> DataFrame:
 
     A pair is comparable when one loan has the event and the other lasts longer (or is
     censored at the same time); equal risks count one half. No pairs are formed: times
-    are non-negative integers, every loan is counted in the dyadic intervals holding its
+    are replaced by their rank among the distinct times (fractions and negative times included), every loan is counted in the dyadic intervals holding its
     time (one per bit of the largest time), each event asks the intervals that tile the
     times after its own, and inside an interval a running count over risk answers "how
     many below".
     """
-    key = (F.col(time).cast("bigint") * 2 + (1 - F.col(event))).alias("key")
-    rows = df.select(key, F.col(event).cast("int").alias("event"), F.col(risk).cast("double").alias("risk"))
+    times = df.select(F.col(time).cast("double").alias("_time")).where("_time is not null").distinct()
+    ranks = stage(running_totals(times, "_time", {"place": F.lit(1)}).select(F.col("_time").alias("_t"), F.col("place_cum").cast("bigint").alias("_place")), "time-ranks")
+    ranked = df.join(ranks, F.col(time).cast("double") == F.col("_t"))
+    key = (F.col("_place") * 2 + (1 - F.col(event))).alias("key")
+    rows = ranked.select(key, F.col(event).cast("int").alias("event"), F.col(risk).cast("double").alias("risk"))
     rows = stage(rows.groupBy("key", "event", "risk").agg(F.count(F.lit(1)).alias("w")), "risk-groups")
     bits = max(int(rows.agg(F.max("key")).first()[0] or 0).bit_length(), 1)
     levels = F.sequence(F.lit(0), F.lit(bits - 1))

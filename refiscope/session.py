@@ -47,16 +47,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of an input that arrives in fewer scan tasks than there are cores.
-
-    One small file is one task, however much work follows it. A large input already has
-    more tasks than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -92,19 +82,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def constant_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A few constant rows as inline ``VALUES``: Catalyst knows their exact size, so a
-    join with them is broadcast without a hint."""
-
-    def text(v) -> str:
-        if v is None:
-            return "NULL"
-        if isinstance(v, bool):
-            return str(v).upper()
-        if isinstance(v, float):
-            return f"{v!r}D"
-        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "\\'") + "'"
-
+    join with them is broadcast without a hint. The values are parameters, not text, so
+    quotes, backslashes, infinities and NaN arrive as they are."""
     columns = [c.strip().split(" ") for c in ddl.split(",")]
-    names = ", ".join(n for n, _ in columns)
-    values = ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows)
     casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in columns)
-    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
+    names = ", ".join(n for n, _ in columns)
+    if not rows:
+        return spark.sql(f"SELECT {casts} FROM VALUES ({', '.join(['NULL'] * len(columns))}) AS t({names}) WHERE false")
+    values = ", ".join("(" + ", ".join(f"CAST(:v{i}_{j} AS {t})" for j, (_, t) in enumerate(columns)) + ")" for i in range(len(rows)))
+    given = {f"v{i}_{j}": v for i, r in enumerate(rows) for j, v in enumerate(r)}
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})", args=given)

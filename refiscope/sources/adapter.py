@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import finance as fin
-from ..session import spread, stage
+from ..session import stage
 from .market_feeds import assemble, compounded_index
 
 REFERENCE_DATE = "2025-06-30"
@@ -37,7 +37,7 @@ def _lookup(key: Column, pairs) -> Column:
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with customer segment and nation; join sides are sized from file statistics."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
@@ -61,7 +61,9 @@ def origination_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("DEAL-"), (k % 1000).cast("string")).alias("deal_name"),
             F.concat(F.lit("PROP-"), k.cast("string")).alias("property_id"),
             F.col("_orig").cast("string").alias("origination_date"),
-            F.add_months("_orig", F.col("loan_term_years") * 12).cast("string").alias("maturity_date"),
+            # Maturities fall on many days, some of them within weeks of the origination.
+            F.when(k % 211 == 0, F.date_add("_orig", (k % 45).cast("int")))
+            .otherwise(F.date_add(F.add_months("_orig", F.col("loan_term_years") * 12), (k % 29).cast("int"))).cast("string").alias("maturity_date"),
             F.year("_orig").alias("origination_year"),
             F.round(F.col("o_totalprice") * 100.0, 0).alias("original_balance"),
             ((30 + k % 40) / 1000.0).alias("note_rate"),
@@ -204,7 +206,7 @@ def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loan_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several dated states per loan, one per order line, with its own balance and NOI."""
-    line = spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey", "l_shipdate")
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey", "l_shipdate")
     seconds = F.col("l_linenumber") * 3600 + F.col("l_partkey") % 3600
     at = F.date_add(F.add_months(F.col("l_shipdate").cast("date"), 240), 0).cast("timestamp")
     stamp = F.date_format(F.timestamp_seconds(F.unix_timestamp(at) + seconds), "yyyy-MM-dd'T'HH:mm:ss")

@@ -91,7 +91,7 @@ def main() -> int:
     oracle = entry.oracle_sql()
     failures = 0
     for name, fn in entry.queries().items():
-        if args and not any(a in name or a == MODULE_OF[name] for a in args):
+        if args and not any(a in name or a == MODULE_OF.get(name) for a in args):
             continue
         t0 = time.time()
         try:

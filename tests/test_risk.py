@@ -107,13 +107,13 @@ def test_metrics_match_brute_force(spark):
 
 def test_concordance_matches_all_pairs(spark):
     rng = random.Random(9)
-    rows = [(rng.choice([60, 61, 84, 120, 200]), int(rng.random() < 0.6), round(rng.random(), 1)) for _ in range(250)]
+    rows = [(rng.choice([-2.5, 60.0, 60.25, 84.0, 120.0, 200.0]), int(rng.random() < 0.6), round(rng.random(), 1)) for _ in range(250)]
     good = n = 0.0
     for (t1, e1, r1), (t2, e2, r2) in itertools.permutations(rows, 2):
         if e1 and (t1 < t2 or (t1 == t2 and not e2)):
             n += 1
             good += (r1 > r2) + 0.5 * (r1 == r2)
-    got = metrics.concordance(spark.createDataFrame(rows, "t int, e int, r double"), "t", "e", "r").first()
+    got = metrics.concordance(spark.createDataFrame(rows, "t double, e int, r double"), "t", "e", "r").first()
     assert got.comparable == n and got.concordance == pytest.approx(good / n)
 
 
@@ -153,13 +153,21 @@ def test_cox_fit_matches_direct_likelihood(spark):
     assert model.log_likelihood == pytest.approx(ll, abs=1e-3)
 
 
-def test_efron_integral_agrees_with_the_exact_sum():
-    s = np.array([5000.0, 100.0, 50.0])
-    tied = np.array([3000.0, 40.0, 20.0])
-    exact = survival._efron_terms(9000, s, tied, 1, exact=10_000)
-    quick = survival._efron_terms(9000, s, tied, 1, exact=512)
-    assert quick[0] == pytest.approx(exact[0], rel=1e-5)
-    assert quick[1][0] == pytest.approx(exact[1][0], rel=1e-3) and quick[2][0, 0] == pytest.approx(exact[2][0, 0], rel=1e-3)
+@pytest.mark.parametrize("deaths", [1, 2, 7, 300, 20_000])
+def test_efron_sums_match_term_by_term(deaths):
+    s0, t0 = 3.0 * deaths + 5.0, 1.7 * deaths
+    share = np.arange(deaths) / deaths
+    a = s0 - share * t0
+    direct = {"log": np.log(a).sum(), "a1": (1 / a).sum(), "b1": (share / a).sum(), "a2": (1 / a**2).sum(), "b2": (share / a**2).sum(), "c2": (share**2 / a**2).sum()}
+    got = survival.efron_sums(np.array([float(deaths)]), np.array([s0]), np.array([t0]))
+    for name, value in direct.items():
+        assert got[name][0] == pytest.approx(value, rel=1e-9, abs=1e-9), name
+
+
+def test_short_terms_tie(spark):
+    df = spark.createDataFrame([(-3, 1), (5, 0), (30, 1), (31, 1), (400, 0)], "duration_days int, event_observed int")
+    got = [(r.duration_days, r.events, r.at_risk) for r in survival.kaplan_meier(df).orderBy("duration_days").collect()]
+    assert got == [(30, 2, 5), (31, 1, 2), (400, 0, 1)]
 
 
 def test_survival_predictions(spark):

@@ -120,5 +120,15 @@ def test_market_gate(spark):
 def test_constant_table_is_broadcast_by_its_size(spark):
     dim = constant_table(spark, [("a", 1, 2.5, None), ("b'c", 2, 0.1, "x")], "k string, n int, d double, s string")
     assert [tuple(r) for r in dim.collect()] == [("a", 1, 2.5, None), ("b'c", 2, 0.1, "x")]
-    big = spark.range(100).select(F.lit("a").alias("k"))
+    big = spark.range(100).select(F.chr(97 + F.col("id") % 2).alias("k"))
     assert "BroadcastHashJoin" in big.join(dim, "k")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_constant_table_keeps_odd_values(spark):
+    import math
+
+    rows = [("a\\", math.inf), ("b\\nc", -math.inf), ("it's", math.nan), ("\\'", 1e300), (None, None)]
+    got = [tuple(r) for r in constant_table(spark, rows, "s string, d double").collect()]
+    assert [r[0] for r in got] == [r[0] for r in rows]
+    assert got[0][1] == math.inf and got[1][1] == -math.inf and math.isnan(got[2][1]) and got[3][1] == 1e300 and got[4][1] is None
+    assert constant_table(spark, [], "s string, d double").count() == 0
