@@ -57,7 +57,7 @@ def _windows(hashes: Column, width: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, width: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, ipos, width, window, raw, kinds, n: the item's windows of which at least half are words.
+    """item_id, ipos, width, window, raw, kinds, n: the item's windows of which at least a third are words.
 
     An item of under ``width`` tokens is one window of its own length. Null texts give none; equal
     items of several ids each count.
@@ -67,7 +67,7 @@ def benchmark_windows(benchmark: DataFrame, width: int, item_id: str = "item_id"
     every = items.select("item_id", "raw", "kinds", "width", F.explode(F.sequence(F.lit(1), F.size("raw") - F.col("width") + 1)).alias("ipos"))
     cut = every.select("item_id", "ipos", "width", F.slice("raw", F.col("ipos"), F.col("width")).alias("raw"), F.slice("kinds", F.col("ipos"), F.col("width")).alias("kinds"))
     plain = F.size(F.filter("kinds", lambda k: ~F.startswith(k, F.lit("#"))))
-    cut = cut.where(plain * 2 >= F.col("width")).withColumn("window", F.xxhash64(F.transform("kinds", lambda k: F.xxhash64(k))))
+    cut = cut.where(plain * 3 >= F.col("width")).withColumn("window", F.xxhash64(F.transform("kinds", lambda k: F.xxhash64(k))))
     return stage(cut, "benchmark-windows")
 
 
