@@ -39,17 +39,21 @@ def word(token: Column) -> Column:
     return F.lower(F.when(_opens(token), F.regexp_replace(token, r"^[^\p{L}\p{N}]+", "")).otherwise(token))
 
 
-def canonical(token: Column) -> Column:
-    """Placeholder of a token, or the token in lower case. A name is a capitalised word within a
-    sentence; words all in capitals are no names, so a text in capitals matches as well."""
-    low = word(token)
-    name = ~_opens(token) & (low != token) & (F.upper(token) != token)
+def placeholder(token: Column, low: Column) -> Column:
+    """Placeholder of a token, or ``low``, the token as ``word`` makes it. A name is a capitalised word
+    within a sentence; words all in capitals are no names, so a text in capitals matches as well."""
+    name = (low != token) & ~_opens(token) & (F.upper(token) != token)
     return (
         F.when(F.substring(low, 1, 1).between("0", "9"), NUMBER)
         .when(name, NAME).when(low.isin(NUMBER_WORDS), NUMBER).when(low.isin(UNITS), UNIT).otherwise(low)
     )
 
 
+def canonical(raw: Column) -> Column:
+    """Template of an array of tokens; every token is put in lower case once."""
+    return F.zip_with(raw, F.transform(raw, word), placeholder)
+
+
 def _windows(hashes: Column, width: int) -> Column:
     n = F.size(hashes)
     at = F.sequence(F.lit(1), n - width + 1)
@@ -63,7 +67,7 @@ def benchmark_windows(benchmark: DataFrame, width: int, item_id: str = "item_id"
     items of several ids each count.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("raw")).where("size(raw) > 0").distinct()
-    items = items.withColumn("kinds", F.transform("raw", canonical)).withColumn("width", F.least(F.lit(width), F.size("raw")))
+    items = items.withColumn("kinds", canonical(F.col("raw"))).withColumn("width", F.least(F.lit(width), F.size("raw")))
     every = items.select("item_id", "raw", "kinds", "width", F.explode(F.sequence(F.lit(1), F.size("raw") - F.col("width") + 1)).alias("ipos"))
     cut = every.select("item_id", "ipos", "width", F.slice("raw", F.col("ipos"), F.col("width")).alias("raw"), F.slice("kinds", F.col("ipos"), F.col("width")).alias("kinds"))
     plain = F.size(F.filter("kinds", lambda k: ~F.startswith(k, F.lit("#"))))
@@ -77,7 +81,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float
     index = benchmark_windows(benchmark, width)
     widths = sorted(r["width"] for r in index.select("width").distinct().collect())  # at most ``width`` rows
     totals = index.groupBy("item_id").agg(F.count("*").alias("all"))
-    hashes = F.transform("raw", lambda t: F.xxhash64(canonical(t)))
+    hashes = F.zip_with("raw", F.transform("raw", word), lambda t, low: F.xxhash64(placeholder(t, low)))
     known = stage(index.select("width", "window").distinct(), "benchmark-hashes")
     own = docs.select("k1", "k2", tokens(F.col("text")).alias("raw")).withColumn("hashes", hashes)
     found = None
