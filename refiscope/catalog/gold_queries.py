@@ -44,8 +44,8 @@ def loan_features(spark, sf):
 
 
 @query("loan_features_cap_rate_fallback", sql_with("now_caps now_treasury loans", """
-SELECT loan_id, round(CASE WHEN property_type IN ('office', 'hotel') THEN cap_rate ELSE (SELECT avg(cap_rate) FROM now_caps WHERE cap_type IN ('office', 'hotel')) END, 4) AS current_cap_rate
-FROM loans JOIN now_caps ON cap_type = property_type"""))
+SELECT loan_id, round(coalesce(CASE WHEN property_type IN ('office', 'hotel') THEN cap_rate END, (SELECT avg(cap_rate) FROM now_caps WHERE cap_type IN ('office', 'hotel'))), 4) AS current_cap_rate
+FROM loans LEFT JOIN now_caps ON cap_type = property_type"""))
 def loan_features_cap_rate_fallback(spark, sf):
     market = V.loan_market(spark, sf)
     part = market.where("data_type <> 'cap_rate' or property_type in ('office', 'hotel')")

@@ -86,7 +86,7 @@ def main() -> int:
         sf = args[i + 1]
         del args[i : i + 2]
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = local_session(8)
+    spark = local_session(8, **{"spark.ui.showConsoleProgress": "false"})
     con = connect(sf_dir)
     oracle = entry.oracle_sql()
     failures = 0
