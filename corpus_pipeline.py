@@ -23,8 +23,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of 400 bytes that occur twice out of the texts; n_chars follows."""
-    cut = suffix_dedup.remove_repeats(docs)
+    """Cuts what occurs twice out of the texts: passages of over 50 words and strings of 400 bytes; n_chars follows."""
+    cut = suffix_dedup.remove_repeats(docs, words=51)
     return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.lit(0))).select(docs.columns)
 
 

@@ -20,6 +20,7 @@ Strings are told apart by 64-bit digests inside one bucket and offset.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,10 @@ PERIOD = 21
 #: Steps from an offset to the next position of the cover.
 STEPS = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
 BUCKET = 8192
+#: Bytes of a word's code, when repeats are measured in words.
+CODE = 6
+_WORD = re.compile(r"\S+")
+_WORDS_REMEMBERED = 1 << 20
 _STARTS_AT_ONCE = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 _CONTEXTS_AT_ONCE = 2048
@@ -212,7 +217,10 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def repeated_starts(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """k1, k2, lo, hi: runs of starts (both included) whose next ``length`` bytes start elsewhere too."""
-    named = _keyed(docs, doc_id, text).select("k1", "k2", "raw")
+    return _repeated_starts(_keyed(docs, doc_id, text).select("k1", "k2", "raw"), length)
+
+
+def _repeated_starts(named: DataFrame, length: int) -> DataFrame:
     schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, at bigint, bucket bigint, whole bigint"
     find = _anchor_rows(length)
     every = named.where(F.length("raw") >= length).mapInPandas(lambda b: _joined(find(b), 20_000), schema)
@@ -257,6 +265,10 @@ def spans(runs: list, length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _merged(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    return spans([(a, b) for a, b in parts], 0)
+
+
 def without(raw: bytes, removed: list[tuple[int, int]]) -> bytes:
     keep, at = [], 0
     for begin, end in removed:
@@ -266,6 +278,46 @@ def without(raw: bytes, removed: list[tuple[int, int]]) -> bytes:
     return b"".join(keep)
 
 
+def _coded(docs: DataFrame, words: int) -> DataFrame:
+    """Texts of at least ``words`` words as ``CODE`` bytes per word, so that repeats of words are repeats of bytes."""
+
+    @F.pandas_udf("binary")
+    def coded(raws: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, bytes] = {}
+        for batch in raws:
+            out = []
+            for raw in batch:
+                own = _WORD.findall(bytes(raw).decode("utf-8", "surrogateescape"))
+                if len(own) < words:
+                    out.append(b"")
+                    continue
+                if len(known) > _WORDS_REMEMBERED:
+                    known.clear()
+                for w in set(own).difference(known):
+                    known[w] = hashlib.blake2b(w.encode("utf-8", "surrogateescape"), digest_size=CODE).digest()
+                out.append(b"".join([known[w] for w in own]))
+            yield pd.Series(out, dtype=object)
+
+    return docs.withColumn("raw", coded("raw"))
+
+
+def repeated_words(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """k1, k2, lo, hi: runs of words (both included, from 0) whose next ``words`` words start elsewhere
+    too, whatever white space is between them."""
+    named = _coded(_keyed(docs, doc_id, text).select("k1", "k2", "raw"), words)
+    found = _repeated_starts(named, words * CODE)
+    lo, hi = F.ceil(F.col("lo") / CODE), F.floor(F.col("hi") / CODE)  # starts inside a code are no words
+    return found.select("k1", "k2", lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
+
+
+def word_spans(raw: bytes, runs: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
+    """Bytes [begin, end) of the words that the runs cover."""
+    whole = raw.decode("utf-8", "surrogateescape")
+    places = [m.span() for m in _WORD.finditer(whole)]
+    size = lambda n: len(whole[:n].encode("utf-8", "surrogateescape"))
+    return [(size(places[a][0]), size(places[b - 1][1])) for a, b in spans(runs, words)]
+
+
 def _with_runs(docs: DataFrame, length: int, doc_id: str, text: str) -> tuple[DataFrame, Column]:
     runs = repeated_starts(docs, length, doc_id, text).groupBy("k1", "k2").agg(F.collect_list(F.array("lo", "hi")).alias("runs"))
     return _keyed(docs, doc_id, text).join(stage(runs, "suffix-runs"), ["k1", "k2"], "left"), F.coalesce(F.col("runs"), F.array().cast("array<array<bigint>>"))
@@ -295,16 +347,30 @@ def removal_report(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     return joined.select("doc_id", report("raw", runs).alias("r")).select("doc_id", "r.*")
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
     """The documents with every repeated string cut out of the text; all rows and columns stay, null
-    texts too. A character of which only a part would be left goes with it."""
+    texts too. A character of which only a part would be left goes with it. With ``words``, passages
+    of so many words that occur twice go as well, however few bytes they have."""
     names = docs.columns
     own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    joined, runs = _with_runs(own, length, f"c{names.index(doc_id)}", f"c{names.index(text)}")
+    key, body = f"c{names.index(doc_id)}", f"c{names.index(text)}"
+    joined, runs = _with_runs(own, length, key, body)
+    none = F.array().cast("array<array<bigint>>")
+    by_word, found = none, F.col("runs").isNotNull()
+    if words:
+        more = repeated_words(own, words, key, body).groupBy("k1", "k2").agg(F.collect_list(F.array("lo", "hi")).alias("word_runs"))
+        joined = joined.join(stage(more, "suffix-word-runs"), ["k1", "k2"], "left")
+        by_word, found = F.coalesce(F.col("word_runs"), none), found | F.col("word_runs").isNotNull()
 
     @F.pandas_udf("string")
-    def kept(raws: pd.Series, all_runs: pd.Series) -> pd.Series:
-        return pd.Series([without(raw, _spans_of(own, length)).decode("utf-8", "ignore") for raw, own in zip(raws, all_runs, strict=True)], dtype=object)
+    def kept(raws: pd.Series, all_runs: pd.Series, all_words: pd.Series) -> pd.Series:
+        out = []
+        for raw, own, counted in zip(raws, all_runs, all_words, strict=True):
+            gone = _spans_of(own, length)
+            if len(counted):
+                gone = _merged(gone + word_spans(bytes(raw), [(int(r[0]), int(r[1])) for r in counted], words))
+            out.append(without(raw, gone).decode("utf-8", "ignore"))
+        return pd.Series(out, dtype=object)
 
-    done = {text: F.when(F.col("runs").isNotNull(), kept("raw", runs)).otherwise(F.col(f"c{names.index(text)}"))}
+    done = {text: F.when(found, kept("raw", runs, by_word)).otherwise(F.col(body))}
     return joined.select(*[done.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])

@@ -180,6 +180,24 @@ def test_remove_repeats_keeps_rows_and_columns(spark):
     assert suffix_dedup.removal_report(docs.limit(0)).count() == 0
 
 
+def test_stage_cuts_passages_of_over_50_words_below_400_bytes(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgü") for _ in range(rng.randrange(1, 9)))
+    rows, left = [], {}
+    for n in range(50, 71):
+        passage = " ".join("".join(rng.choice("klmnop") for _ in range(1 + i % 8)) for i in range(n))
+        assert n < 51 or len(passage.encode()) < 400
+        for k in range(2):
+            own = [" ".join(word() for _ in range(40)) for _ in range(2)]
+            rows.append((2 * n + k, f"{own[0]} {passage if k else passage.replace(' ', '  ')} {own[1]}", 0))
+            left[2 * n + k] = " ".join(own).split() if n > 50 else rows[-1][1].split()
+    docs = spark.createDataFrame(rows, DOCS + ", n_chars bigint")
+    got = corpus_pipeline.cut_repeats(spark, docs, "").collect()
+    assert {r.doc_id: r.text.split() for r in got} == left and all(r.n_chars == len(r.text) for r in got)
+
+
 def test_cover_differences_are_complete():
     pairs = {(a - b) % suffix_dedup.PERIOD for a in suffix_dedup.COVER for b in suffix_dedup.COVER}
     assert pairs == set(range(suffix_dedup.PERIOD))
