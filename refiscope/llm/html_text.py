@@ -3,8 +3,8 @@
 First pass: every page is read into blocks of text, each under a container, and every container is
 scored by the running text in it. Containers are named by generalised paths: tags with their
 classes, digits replaced, the last eight steps. Spark sums the pages' votes per host and path.
-Second pass: pages are read again and the blocks under the host's winning path are kept; a page
-without that path falls back on its own best container.
+Second pass: pages are read again and the blocks under the host's winning path are kept, extended
+to the article or main around it; a page without that path falls back on its own best container.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ _BLOCKS = _CONTAINERS | {"html", "head", "p", "h1", "h2", "h3", "h4", "h5", "h6"
                          "tfoot", "pre", "figure", "figcaption", "fieldset", "address", "details", "summary", "hr", "dialog", "caption", "menu"}
 _ENDS_ITSELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
+_WRAPPERS = {"div", "section", "center", "td"}
 _ASIDE_TAGS = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head"}
 _ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu"}
 _ASIDE_NAMES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs "
@@ -49,6 +50,7 @@ class Node:
     path: str
     aside: bool
     score: float = 0.0
+    tag: str = ""
 
 
 @dataclass
@@ -57,9 +59,20 @@ class Page:
     blocks: list[tuple[int, bool, str]] = field(default_factory=list)  # container, aside, text
 
 
-def _attributes(raw: str) -> tuple[str, bool]:
-    """Generalised classes, and whether a name or role marks what isn't the article."""
-    classes, aside = "", False
+@dataclass
+class Mark:
+    """An element that isn't the article. ``weak``: a wrapper that is marked by a part of a class or id only."""
+
+    parent: int
+    weak: bool = False
+    heads: bool = False  # holds a h1, article or main
+    text: float = 0.0
+
+
+def _attributes(raw: str) -> tuple[str, bool, bool]:
+    """Generalised classes, whether a name or role marks what isn't the article, and whether only a
+    part of a longer name does."""
+    classes, aside, weak = "", False, True
     for name, a, b, c in _ATTRIBUTE.findall(raw):
         value = unescape(a or b or c).lower()
         name = name.lower()
@@ -67,15 +80,20 @@ def _attributes(raw: str) -> tuple[str, bool]:
             classes = "".join("." + _DIGITS.sub("#", x) for x in sorted(set(value.split())))
         if name == "role":
             aside |= value.strip() in _ASIDE_ROLES
-        else:
-            aside |= not _ASIDE_NAMES.isdisjoint(_NAME_PARTS.split(value))
-    return classes, aside
+            weak &= value.strip() not in _ASIDE_ROLES
+        elif not _ASIDE_NAMES.isdisjoint(_NAME_PARTS.split(value)):
+            aside = True
+            weak &= all(_NAME_PARTS.sub("", x) not in _ASIDE_NAMES for x in value.split())
+    return classes, aside, weak
 
 
 def read_page(html: str) -> Page:
     """Blocks in page order. Tags may be left open, closed twice or cut off at the end."""
     page = Page()
-    stack: list[tuple[str, int, bool, str]] = []  # tag, container, aside, step of the path
+    stack: list[tuple[str, int, int, str]] = []  # tag, container, mark (0 for none), step of the path
+    marks = [Mark(0)]
+    marked_nodes = [0]
+    found_blocks: list[tuple[int, int, str, float]] = []  # container, mark, text, weight
     texts: list[str] = []
     linked = 0
     links = 0
@@ -85,13 +103,8 @@ def read_page(html: str) -> Page:
         text = " ".join(unescape("".join(texts)).split())
         texts.clear()
         if text:
-            node, aside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
-            page.blocks.append((node, aside, text))
-            if not aside:
-                weight = float(max(0, len(text) - 2 * linked))
-                while node >= 0 and weight >= 1:
-                    page.nodes[node].score += weight
-                    node, weight = page.nodes[node].parent, weight / 2
+            node, mark = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
+            found_blocks.append((node, mark, text, float(max(0, len(text) - 2 * linked))))
         linked = 0
 
     at, n = 0, len(html)
@@ -145,20 +158,67 @@ def read_page(html: str) -> Page:
                     break
         elif name == "body":
             stack = [s for s in stack if s[0] == "html"]
-        node, aside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
-        classes, marked = _attributes(raw) if raw else ("", False)
+        node, mark = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
+        classes, named, weak = _attributes(raw) if raw else ("", False, True)
         step = name + classes
         if name not in ("html", "body", "article", "main"):
-            aside = aside or marked or name in _ASIDE_TAGS or name == "header" and not any(s[0] in ("article", "main") for s in stack)
+            role = name in _ASIDE_TAGS or name == "header" and not any(s[0] in ("article", "main") for s in stack)
+            if named or role:
+                marks.append(Mark(mark, weak and not role and name in _WRAPPERS))
+                mark = len(marks) - 1
+        if name in ("h1", "article", "main"):
+            up = mark
+            while up and not marks[up].heads:
+                marks[up].heads = True
+                up = marks[up].parent
         if name in _CONTAINERS:
             steps = [s[3] for s in stack[-(STEPS - 1) :] if s[0] in _BLOCKS]
-            page.nodes.append(Node(node, "/".join([*steps, step]), aside))
+            page.nodes.append(Node(node, "/".join([*steps, step]), False, tag=name))
+            marked_nodes.append(mark)
             node = len(page.nodes) - 1
-        stack.append((name, node, aside, step))
+        stack.append((name, node, mark, step))
     flush()
+    _settle(page, marks, marked_nodes, found_blocks)
     return page
 
 
+def _settle(page: Page, marks: list[Mark], marked_nodes: list[int], blocks: list[tuple[int, int, str, float]]) -> None:
+    """Decides which marks hold and scores the containers. A weak mark is lifted if its wrapper holds
+    most of the running text that isn't surely aside: over half with a heading in it, else nine tenths."""
+    sure = [False] * len(marks)
+    for i, m in enumerate(marks[1:], 1):
+        sure[i] = sure[m.parent] or not m.weak
+    for _, mark, _, weight in blocks:
+        if not sure[mark]:
+            marks[mark].text += weight
+    for m in reversed(marks[1:]):
+        marks[m.parent].text += m.text
+    total = marks[0].text
+    aside = [False] * len(marks)
+    for i, m in enumerate(marks[1:], 1):
+        aside[i] = aside[m.parent] or not (m.weak and m.text > total * (0.5 if m.heads else 0.9))
+    for node, mark in zip(page.nodes, marked_nodes, strict=True):
+        node.aside = aside[mark]
+    whole = [0.0] * len(page.nodes)
+    for node, mark, text, weight in blocks:
+        page.blocks.append((node, aside[mark], text))
+        if not aside[mark]:
+            whole[node] += weight
+            while node >= 0 and weight >= 1:
+                page.nodes[node].score += weight
+                node, weight = page.nodes[node].parent, weight / 2
+    # A container whose text is dealt over parts of different paths stands for all of it.
+    largest: dict[int, dict[str, float]] = {}
+    for i in range(len(page.nodes) - 1, 0, -1):
+        node = page.nodes[i]
+        whole[node.parent] += whole[i]
+        if whole[i]:
+            parts = largest.setdefault(node.parent, {})
+            parts[node.path] = parts.get(node.path, 0.0) + whole[i]
+        if node.tag != "body" and i in largest and max(largest[i].values()) * 3 <= whole[i] * 2:
+            node.score = max(node.score, whole[i])
+
+
 def votes(page: Page) -> list[tuple[str, float]]:
     """Share of the page's running text per path; halves of it go to the parents."""
     total = sum(len(text) for _, aside, text in page.blocks if not aside)
@@ -171,17 +231,44 @@ def votes(page: Page) -> list[tuple[str, float]]:
 
 def extract(page: Page, winner: str | None) -> str:
     """Blocks under the winning path, else under the page's best container, else all that isn't aside."""
+    top = [i for i, node in enumerate(page.nodes) if i and not node.aside and node.path == winner]
+    if not top:
+        top = [max(range(len(page.nodes)), key=lambda i: (page.nodes[i].score, i))]
+    return _text_under(page, _extended(page, top))
+
+
+def _text_under(page: Page, top: list[int]) -> str:
     inside = [False] * len(page.nodes)
+    for i in _extended(page, top):
+        inside[i] = True
     for i, node in enumerate(page.nodes[1:], 1):
-        inside[i] = not node.aside and (inside[node.parent] or node.path == winner)
-    if not any(inside):
-        best = max(range(len(page.nodes)), key=lambda i: (page.nodes[i].score, i))
-        inside[best] = True
-        for i, node in enumerate(page.nodes[1:], 1):
-            inside[i] = inside[i] or inside[node.parent]
+        inside[i] = inside[i] or inside[node.parent]
     return "\n".join(text for node, aside, text in page.blocks if inside[node] and not aside)
 
 
+def _extended(page: Page, top: list[int]) -> set[int]:
+    """The nearest article or main of each container; the common ancestor of several that stand in none."""
+    out, bare = set(), []
+    for i in top:
+        at = i
+        while at > 0 and page.nodes[at].tag not in ("article", "main"):
+            at = page.nodes[at].parent
+        if at > 0:
+            out.add(at)
+        else:
+            bare.append(i)
+    if bare:
+        common = bare[0]
+        for i in bare[1:]:
+            while i != common:  # parents have smaller numbers
+                if i > common:
+                    i = page.nodes[i].parent
+                else:
+                    common = page.nodes[common].parent
+        out.add(common)
+    return out
+
+
 def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """host, path, votes, pages: the votes of all pages, summed per host and path."""
 
