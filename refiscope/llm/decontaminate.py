@@ -60,54 +60,96 @@ def _windows(hashes: Column, width: int) -> Column:
     return F.when(n >= width, F.transform(at, lambda i: F.xxhash64(F.slice(hashes, i, width)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def benchmark_windows(benchmark: DataFrame, width: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, ipos, width, window, raw, kinds, n: the item's windows of which at least a third are words.
+def benchmark_items(benchmark: DataFrame, width: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """item_id, part (names the item's text), raw, low, kinds, width, all: every different item with the number of its windows.
 
     An item of under ``width`` tokens is one window of its own length. Null texts give none; equal
     items of several ids each count.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("raw")).where("size(raw) > 0").distinct()
-    items = items.withColumn("kinds", canonical(F.col("raw"))).withColumn("width", F.least(F.lit(width), F.size("raw")))
-    every = items.select("item_id", "raw", "kinds", "width", F.explode(F.sequence(F.lit(1), F.size("raw") - F.col("width") + 1)).alias("ipos"))
-    cut = every.select("item_id", "ipos", "width", F.slice("raw", F.col("ipos"), F.col("width")).alias("raw"), F.slice("kinds", F.col("ipos"), F.col("width")).alias("kinds"))
+    items = items.withColumn("low", F.transform("raw", word)).withColumn("kinds", F.zip_with("raw", "low", placeholder))
+    items = items.withColumn("part", F.xxhash64("raw")).withColumn("width", F.least(F.lit(width), F.size("raw")))
+    return stage(items.withColumn("all", F.size("raw") - F.col("width") + 1), "benchmark-items")
+
+
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """item_id, part, ipos, width, window: by what the items' windows are looked up.
+
+    Every window stands with its literal tokens in lower case; one of which at least a third are
+    words also with its template. The first word of a sentence may be read as a name where the text
+    before it is another, so it stands in templates both ways.
+    """
+    every = items.select("item_id", "part", "raw", "low", "kinds", "width", F.explode(F.sequence(F.lit(1), F.col("all"))).alias("ipos"))
+    cut = every.select("item_id", "part", "ipos", "width", *[F.slice(c, F.col("ipos"), F.col("width")).alias(c) for c in ("raw", "low", "kinds")])
     plain = F.size(F.filter("kinds", lambda k: ~F.startswith(k, F.lit("#"))))
-    cut = cut.where(plain * 3 >= F.col("width")).withColumn("window", F.xxhash64(F.transform("kinds", lambda k: F.xxhash64(k))))
-    return stage(cut, "benchmark-windows")
+    first = F.zip_with("raw", "low", lambda t, low: _opens(t) & ~F.endswith(t, low))  # capitalised
+    ways = F.aggregate(
+        F.arrays_zip("kinds", first.alias("first")), F.array(F.array().cast("array<bigint>")),
+        lambda found, s: F.concat(
+            F.transform(found, lambda f: F.concat(f, F.array(F.xxhash64(s["kinds"])))),
+            F.when(s["first"], F.transform(found, lambda f: F.concat(f, F.array(F.xxhash64(F.lit(NAME)))))).otherwise(F.array().cast("array<array<bigint>>"))))
+    literal = F.array(F.transform("low", lambda k: F.xxhash64(k)))
+    ways = F.concat(literal, F.when(plain * 3 >= F.col("width"), ways).otherwise(F.array().cast("array<array<bigint>>")))
+    windows = cut.select("item_id", "part", "ipos", "width", F.explode(F.transform(ways, lambda w: F.xxhash64(w))).alias("window"))
+    return stage(windows.distinct(), "benchmark-windows")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.8, enough: int = 6) -> DataFrame:
     """``docs`` as ``base.keyed`` makes it. k1, k2, item_id, n_windows of every document and item that
-    have ``share`` of the item's windows in common, or ``enough`` of them, with consistent slots."""
-    index = benchmark_windows(benchmark, width)
+    have ``share`` of all of the item's windows in common, or ``enough`` of them, with consistent slots.
+
+    A window that is found gives an alignment; along it all tokens are compared, literally in lower
+    case or by their placeholders.
+    """
+    items = benchmark_items(benchmark, width)
+    index = benchmark_windows(items)
     widths = sorted(r["width"] for r in index.select("width").distinct().collect())  # at most ``width`` rows
-    totals = index.groupBy("item_id").agg(F.count("*").alias("all"))
-    hashes = F.zip_with("raw", F.transform("raw", word), lambda t, low: F.xxhash64(placeholder(t, low)))
     known = stage(index.select("width", "window").distinct(), "benchmark-hashes")
-    own = docs.select("k1", "k2", tokens(F.col("text")).alias("raw")).withColumn("hashes", hashes)
+    own = docs.select("k1", "k2", tokens(F.col("text")).alias("raw"))
+    own = own.select("k1", "k2", "raw", F.transform("raw", word).alias("low"))
+    own = own.select("k1", "k2", F.zip_with("raw", "low", lambda t, low: F.xxhash64(placeholder(t, low))).alias("hashes"), F.transform("low", lambda t: F.xxhash64(t)).alias("literal"))
     found = None
     for w in widths:
-        one = own.select("k1", "k2", "raw", F.posexplode(_windows(F.col("hashes"), w)).alias("dpos", "window"))
+        both = F.arrays_zip(_windows(F.col("hashes"), w).alias("a"), _windows(F.col("literal"), w).alias("b"))
+        one = own.select("k1", "k2", F.posexplode(both).alias("dpos", "w"))
+        one = one.select("k1", "k2", "dpos", F.explode(F.array_distinct(F.array("w.a", "w.b"))).alias("window"))
         one = one.join(known.where(F.col("width") == w).select("window"), "window", "left_semi")
-        one = one.select("k1", "k2", "window", F.lit(w).alias("width"), (F.col("dpos") + 1).alias("dpos"), F.slice("raw", F.col("dpos") + 1, w).alias("draw"))
+        one = one.select("k1", "k2", "window", F.lit(w).alias("width"), (F.col("dpos") + 1).alias("dpos"))
         found = one if found is None else found.unionByName(one)
     schema = "k1 bigint, k2 bigint, item_id bigint, n_windows bigint"
     if found is None:
         return docs.sparkSession.createDataFrame([], schema)
     found = stage(found.distinct(), "benchmark-found")
-    pairs = found.join(index, ["width", "window"]).withColumn("shift", F.col("dpos") - F.col("ipos"))
-
-    slots = F.filter(F.arrays_zip("kinds", "raw", "draw"), lambda s: F.startswith(s["kinds"], F.lit("#")))
-    slots = pairs.select("k1", "k2", "item_id", "shift", F.explode(slots).alias("s"))
-    values = slots.groupBy("k1", "k2", "item_id", "shift", F.col("s.kinds").alias("kind"), word(F.col("s.raw")).alias("value")).agg(
-        (F.min(word(F.col("s.draw"))) != F.max(word(F.col("s.draw")))).alias("torn"))
-    torn = stage(values.where("torn").select("k1", "k2", "item_id", "shift").distinct(), "benchmark-torn")
+    shift = (F.col("dpos") - F.col("ipos")).alias("shift")
+    aligned = stage(found.join(index, ["width", "window"]).select("k1", "k2", "item_id", "part", shift).distinct(), "benchmark-aligned")
+
+    touched = docs.join(aligned.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    touched = stage(touched.select("k1", "k2", tokens(F.col("text")).alias("draw")), "benchmark-texts")
+    pairs = aligned.join(touched, ["k1", "k2"])
+    item = items.select(F.col("item_id").alias("own_id"), F.col("part").alias("own_part"), "low", "kinds", "width", "all")
+    pairs = pairs.join(item, F.col("item_id").eqNullSafe(F.col("own_id")) & (F.col("part") == F.col("own_part")))
+    facing = F.transform(F.sequence(F.lit(0), F.size("low") - 1), lambda i: F.get("draw", i + F.col("shift")))
+    # Written between the steps: filters that are pushed below would compute the arrays over and over.
+    pairs = stage(pairs.select("k1", "k2", "item_id", "part", "low", "kinds", "width", "all", facing.alias("draw")), "benchmark-facing")
+    pairs = pairs.withColumn("dlow", F.transform("draw", word)).withColumn("dkinds", F.zip_with("draw", "dlow", placeholder))
+    alike = F.transform(F.arrays_zip("low", "kinds", "dlow", "dkinds"), lambda s: F.coalesce((s["low"] == s["dlow"]) | (s["kinds"] == s["dkinds"]), F.lit(False)))
+    pairs = pairs.select("k1", "k2", "item_id", "part", "low", "kinds", "dlow", "width", "all", alike.alias("alike"))
+    pairs = stage(pairs, "benchmark-alike")
+    whole = F.filter(F.sequence(F.lit(1), F.col("all")), lambda i: F.forall(F.slice("alike", i, F.col("width")), lambda x: x))
+    pairs = stage(pairs.withColumn("ipos", whole).drop("alike"), "benchmark-compared").where("size(ipos) > 0")
+    slots = F.filter(
+        F.transform(F.arrays_zip("low", "kinds", "dlow"), lambda s, i: F.struct(s["kinds"].alias("kind"), s["low"].alias("value"), s["dlow"].alias("given"), i.alias("i"))),
+        lambda s: F.startswith(s["kind"], F.lit("#")) & F.exists("ipos", lambda p: (s["i"] >= p - 1) & (s["i"] < p - 1 + F.col("width"))))
+    pairs = stage(pairs.select("k1", "k2", "item_id", "part", "all", "ipos", slots.alias("slots")), "benchmark-slots")
+    values = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["value"]))))
+    given = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["value"], s["given"]))))
     counted = (
-        pairs.join(torn, ["k1", "k2", "item_id", "shift"], "left_anti")
-        .select("k1", "k2", "item_id", "ipos").distinct()
-        .groupBy("k1", "k2", "item_id").agg(F.count("*").alias("n_windows"))
+        pairs.where(values == given)
+        .select("k1", "k2", "item_id", "part", "all", F.explode("ipos").alias("ipos")).distinct()
+        .groupBy("k1", "k2", "item_id", "part", "all").agg(F.count("*").alias("n_windows"))
     )
     needed = F.least(F.ceil(F.col("all") * share - 1e-9), F.lit(enough))
-    return counted.join(totals, "item_id").where(F.col("n_windows") >= needed).select("k1", "k2", "item_id", "n_windows")
+    return counted.where(F.col("n_windows") >= needed).groupBy("k1", "k2", "item_id").agg(F.max("n_windows").alias("n_windows"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float = 0.8, enough: int = 6,
