@@ -17,6 +17,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -183,7 +184,8 @@ class Segments:
         self.line_id = next((i for i, b in enumerate(self.bytes_of) if b == b"\n"), None)
         if any("\n" in p for p in pieces):
             self.line_id = None
-        self.known: dict[str, tuple[int, str, str]] = {}  # number of ids, the ids, their text
+        #: Number of ids, the ids, their text, normalised bytes from the segment's start to each piece's end.
+        self.known: dict[str, tuple[int, str, str, list[int]]] = {}
 
     def cut(self, normal: str) -> list[str]:
         return self.CUT.findall(normal) if self.CUT else [normal] * bool(normal)
@@ -196,7 +198,23 @@ class Segments:
             known.clear()
             new = list(dict.fromkeys(segments))
         for s, ids in zip(new, self._ids(new), strict=True):
-            known[s] = (len(ids), ",".join(map(str, ids)), self._text(ids))
+            known[s] = (len(ids), ",".join(map(str, ids)), self._text(ids), self._ends(s, ids))
+
+    def _ends(self, segment: str, ids: list[int]) -> list[int]:
+        return list(accumulate(self.lengths[i] if i not in self.unknown else len(segment.encode()) for i in ids))
+
+    def project(self, segments: list[str], source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Source bytes [begin, end) of all pieces of looked-up segments: each segment's remembered
+        ends are shifted to its place in the normalised text and go through the alignment."""
+        if not segments:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        own = [self.known[s][3] for s in segments]
+        ends = np.fromiter(chain.from_iterable(own), np.int64)
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        widths = np.fromiter((x[-1] if x else 0 for x in own), np.int64, len(own))
+        ends += np.repeat(np.cumsum(widths) - widths, sizes)
+        places = source[np.concatenate([[0], ends])]
+        return places[:-1], places[1:]
 
     def _ids(self, parts: list[str]) -> list[list[int]]:
         """Of many segments; those without a line end go through one call, as merges never cross a line end."""
@@ -221,14 +239,10 @@ class Segments:
         normal = normalise(text, self.spec)
         segments = self.cut(normal.text)
         self.lookup(segments)
-        out, at, source = [], 0, normal.source
-        for s in segments:
-            for i in map(int, self.known[s][1].split(",")):
-                length = self.lengths[i] if i not in self.unknown else len(s.encode())
-                out.append(Piece(i, int(source[at]), int(source[at + length])))
-                at += length
+        ids = [int(i) for s in segments for i in self.known[s][1].split(",") if i]
+        begins, ends = self.project(segments, normal.source)
         self.forget_long(segments)
-        return out
+        return [Piece(i, b, e) for i, b, e in zip(ids, begins.tolist(), ends.tolist(), strict=True)]
 
     def decode(self, ids: list[int]) -> str:
         """Byte pieces are joined before they are read as UTF-8; the dummy prefix goes."""
@@ -329,29 +343,35 @@ def decode(docs: DataFrame, model: str = "piece_bpe_32k.model", ids: str = "ids"
 
 
 def digests(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str = "text") -> DataFrame:
-    """Adds n_tokens, ids_sha256, decoded_sha256 and span_bytes without keeping the ids.
+    """Adds n_tokens, ids_sha256, decoded_sha256, spans_sha256 and span_bytes without keeping the ids.
 
-    A text is encoded and its ids are decoded in the same step; nothing of it is kept. The spans of
-    the pieces are folded into ``span_bytes``, the source bytes that the pieces cover.
+    A text is encoded, every piece is projected to its source bytes and the ids are decoded in the
+    same step; nothing of it is kept. ``spans_sha256`` is of all pieces' begins and then ends as text
+    with commas, ``span_bytes`` the number of source bytes that the pieces cover.
     """
 
-    @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string, span_bytes bigint")
+    @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_sha256 string, span_bytes bigint")
     def folded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tool = segments(model_path(model))
         for batch in batches:
-            yield pd.DataFrame([_folded(tool, t or "") for t in batch], columns=["n_tokens", "ids_sha256", "decoded_sha256", "span_bytes"])
+            yield pd.DataFrame([_folded(tool, t or "") for t in batch], columns=names)
 
-    names = ["n_tokens", "ids_sha256", "decoded_sha256", "span_bytes"]
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "span_bytes"]
     return docs.withColumn("_folded", folded(F.col(text))).withColumns({c: F.col(f"_folded.{c}") for c in names}).drop("_folded")
 
 
-def _folded(tool: Segments, text: str) -> tuple[int, str, str, int]:
+def spans_text(begins: np.ndarray, ends: np.ndarray) -> str:
+    return ",".join(map(str, [*begins.tolist(), *ends.tolist()]))
+
+
+def _folded(tool: Segments, text: str) -> tuple[int, str, str, str, int]:
     normal = normalise(text, tool.spec)
     parts = tool.cut(normal.text)
     tool.lookup(parts)
     found = [tool.known[s] for s in parts]
+    sha = lambda s: hashlib.sha256(s.encode("utf-8", "replace")).hexdigest()
     ids_text = ",".join([x[1] for x in found])
     decoded = tool.decode_segments(parts)
-    spanned = int(normal.source[-1] - normal.source[0]) if found else 0
+    begins, ends = tool.project(parts, normal.source)
     tool.forget_long(parts)
-    return sum(x[0] for x in found), hashlib.sha256(ids_text.encode()).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest(), spanned
+    return len(begins), sha(ids_text), sha(decoded), sha(spans_text(begins, ends)), int((ends - begins).sum())

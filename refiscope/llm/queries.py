@@ -105,7 +105,7 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return pieces.digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256")
 
 
 # --- 8: SimHash
