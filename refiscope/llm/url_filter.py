@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .base import ascii_lower
 
-#: Longest DNS name; a longer host is looked up as it stands, without its parent domains.
-MAX_NAME = 253
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -76,12 +73,11 @@ def _rest(url: Column) -> Column:
 
 
 def domains(host: Column) -> Column:
-    """The host and its parent domains; none for an empty host."""
+    """The host and its parent domains, at every length; none for an empty host."""
     parts = F.split(host, r"\.")
     n = F.size(parts)
-    whole = F.array(host)
     parents = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(parts, i, n), "."))
-    return F.when(host == "", F.array().cast("array<string>")).when(F.length(host) > MAX_NAME, whole).otherwise(parents)
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(parents)
 
 
 def _shard(key: Column, shards: int) -> Column:
