@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, licences, multi_index, pieces, quality, simhash, suffix_dedup, url_filter
+from . import chat, decontaminate, html_text, infill, licences, multi_index, pieces, quality, simhash, square_runs, suffix_dedup, url_filter, word_windows
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +217,133 @@ SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_char
        CAST(digest.chars + added.chars AS BIGINT) AS formatted_chars
 FROM digest JOIN added USING (conv_id)
 """
+
+# --- 11: fill-in-the-middle
+
+
+@query
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.infilled(table(spark, sf_dir, "documents"))
+    found = found.withColumn("d", infill.digests(F.col("output"), F.col("form")))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "d.output_sha256", "d.restored_sha256")
+
+
+SQL["op11_infill"] = r"""
+WITH own AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), cut AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u,
+           CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+           CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM own
+), drawn AS (
+    SELECT doc_id, t, u, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut
+), parts AS (
+    SELECT doc_id, t, n, form, array_to_string(u[:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+# --- 12: substring dedup
+
+
+@query
+def op12_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_windows.removal_spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("begins", "ends", lambda b, e: e - b), F.lit(0).cast("bigint"), lambda total, n: total + n)
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op12_word_windows"] = r"""
+WITH own AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS v
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM own WHERE len(w) >= 20)
+), later AS (
+    SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY v ORDER BY doc_id, i) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM later
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM own
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM own LEFT JOIN kept USING (doc_id)
+"""
+
+# --- 13: periodic runs
+
+
+def _repeating(doc_id: Column, text: Column) -> Column:
+    """The text, in which for a tenth of the ids the words from a drawn place on repeat the first ones from there."""
+
+    @F.pandas_udf("string")
+    def made(raws: pd.Series, draws: pd.Series) -> pd.Series:
+        out = []
+        for raw, h in zip(raws, draws.tolist(), strict=True):
+            words = raw.split() if h % 10 == 0 else []
+            if words:
+                g = h // 10
+                a = g % len(words)
+                p = 1 + (len(words) - a) // (3 + g % 8)
+                raw = b" ".join(words[:a] + [words[a + i % p] for i in range(len(words) - a)])
+            out.append(raw.decode("utf-8", "replace"))
+        return pd.Series(out, dtype=object)
+
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    return made(F.coalesce(text, F.lit("")).cast("binary"), h)
+
+
+@query
+def op13_square_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _repeating(F.col("doc_id"), F.col("text")).alias("text"))
+    found = square_runs.periodic_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listing = F.array_join(F.transform(lines, lambda r: F.concat(r, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(listing, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+_TABLE = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: xor(c >> 1, (c & 1) * 3988292384), i))"
+_CRC = "xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1]), 4294967295), 4294967295)"
+# A stretch that has a smaller period as well is found with both: as longest stretch of either it's the same.
+SQL["op13_square_runs"] = rf"""
+WITH own AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w0, {_CRC} AS h
+    FROM documents, (SELECT {_TABLE} AS steps)
+), ruled AS (
+    SELECT doc_id, w0, h, len(w0) AS n, CASE WHEN len(w0) > 0 THEN (h // 10) % len(w0) END AS a,
+           CASE WHEN len(w0) > 0 THEN 1 + (len(w0) - (h // 10) % len(w0)) // (3 + (h // 10) % 8) END AS p FROM own
+), words AS (
+    SELECT doc_id, n, i, CASE WHEN h % 10 = 0 AND i >= a THEN w0[a + (i - a) % p + 1] ELSE w0[i + 1] END AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM ruled)
+), equals AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y
+    ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 3
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equals) GROUP BY doc_id, q, island
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS q FROM stretches WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / q DESC, start, q) = 1
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listing FROM runs GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, CAST(length AS BIGINT) AS length, q AS period, CAST(1000 * length // q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM own LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -17,5 +17,5 @@ def test_query_equals_its_sql(spark, con, name):
     assert compare(queries.QUERIES[name](spark, SF), con, queries.SQL[name]) is None
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
