@@ -77,7 +77,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the files of staged tables that no later plan reads: everything derived from them
+    must be staged itself by now."""
+    for df in staged:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def constant_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
