@@ -168,7 +168,7 @@ COX_SQL = " + ".join(f"({b}::DOUBLE) * {c}" for c, b in COX.items())
 
 view("surv", ("pobsf", "market"), f"""
 SELECT *, date_diff('day', od, md) AS dd, greatest(date_diff('day', od, md) / 30.44e0, 1e0) AS dm, CAST(distress_tier IN ('critical', 'high') AS INTEGER) AS ev,
-  exp({COX_SQL}) AS hr FROM pobsf WHERE t_obs >= (SELECT min(observation_date)::DATE FROM market WHERE data_type = 'treasury_10y')
+  exp({COX_SQL}) AS hr, CAST(round(({COX_SQL}) * 1e9) AS BIGINT) AS risk_key FROM pobsf WHERE t_obs >= (SELECT min(observation_date)::DATE FROM market WHERE data_type = 'treasury_10y')
 """)
 view("h0", ("surv",), """
 SELECT dd, dm, sum(ev / w) OVER (ORDER BY dd) AS h FROM (
@@ -220,10 +220,10 @@ def survival_step_function(spark, sf):
 @query("concordance_index", sql_with("surv", """
 SELECT comparable::DOUBLE AS comparable, round(good / comparable, 6) AS concordance FROM (
  SELECT sum(a.w * b.w) AS comparable, sum(a.w * b.w * CASE WHEN a.r > b.r THEN 1e0 WHEN a.r = b.r THEN 0.5e0 ELSE 0e0 END) AS good
- FROM (SELECT greatest(dd, 30) AS dd, hr AS r, count(*) AS w FROM surv WHERE ev = 1 GROUP BY 1, 2) a
- JOIN (SELECT greatest(dd, 30) AS dd, ev, hr AS r, count(*) AS w FROM surv GROUP BY 1, 2, 3) b ON b.dd > a.dd OR (b.dd = a.dd AND b.ev = 0))"""))
+ FROM (SELECT greatest(dd, 30) AS dd, risk_key AS r, count(*) AS w FROM surv WHERE ev = 1 GROUP BY 1, 2) a
+ JOIN (SELECT greatest(dd, 30) AS dd, ev, risk_key AS r, count(*) AS w FROM surv GROUP BY 1, 2, 3) b ON b.dd > a.dd OR (b.dd = a.dd AND b.ev = 0))"""))
 def concordance_index(spark, sf):
-    rows = surv_frame(spark, sf).withColumns({"risk": F.exp(survival.linear_predictor(COX)), "day": survival.risk_days()})
+    rows = surv_frame(spark, sf).withColumns({"risk": survival.risk_key(COX), "day": survival.risk_days()})
     return rounded(metrics.concordance(rows, "day", "event_observed", "risk"))
 
 
