@@ -115,3 +115,9 @@ PSI_FEATURES = [
     "cap_rate_at_Tobs", "rate_gap_bps_at_Tobs", "current_dscr_at_Tobs", "current_ltv_at_Tobs",
     "treasury_10y_at_Tobs",
 ]
+
+# Ranges of the classifier search.
+SEARCH_RANGES = {
+    "max_depth": (3, 6), "learning_rate": (0.01, 0.3), "n_trees": (100, 500), "min_child_weight": (5, 30), "subsample": (0.6, 1.0),
+    "feature_share": (0.6, 1.0), "reg_alpha": (0.01, 5.0), "reg_lambda": (0.01, 5.0),
+}

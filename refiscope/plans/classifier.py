@@ -2,44 +2,37 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import encode, metrics
-from ..session import constant_table, stage
+from ..operators import boosting, encode, metrics
+from ..operators.boosting import BoostedModel, Params
+from ..session import constant_table, release, stage
 from .frame import TrainingFrame
 
 
-@dataclass(frozen=True)
-class Params:
-    max_depth: int = 3
-    learning_rate: float = 0.1
-    n_trees: int = 50
-    min_rows: int = 5
-    subsample: float = 0.8
-    feature_share: float = 0.8
-
-
 def random_params(n: int, seed: int = 42, max_trees: int = 500) -> list[Params]:
-    """Seeded draws from the search ranges (learning rate on a log scale)."""
+    """Seeded draws from the search ranges (learning rate and penalties on a log scale)."""
     rng = random.Random(seed)
     return [
         Params(
-            max_depth=rng.randint(3, 6),
-            learning_rate=10 ** rng.uniform(-2.0, -0.5228787452803376),
-            n_trees=rng.randint(min(100, max_trees), max_trees),
-            min_rows=rng.randint(5, 30),
-            subsample=rng.uniform(0.6, 1.0),
-            feature_share=rng.uniform(0.6, 1.0),
+            max_depth=rng.randint(*C.SEARCH_RANGES["max_depth"]),
+            learning_rate=math.exp(rng.uniform(*map(math.log, C.SEARCH_RANGES["learning_rate"]))),
+            n_trees=rng.randint(min(C.SEARCH_RANGES["n_trees"][0], max_trees), min(C.SEARCH_RANGES["n_trees"][1], max_trees)),
+            min_child_weight=rng.randint(*C.SEARCH_RANGES["min_child_weight"]),
+            subsample=rng.uniform(*C.SEARCH_RANGES["subsample"]),
+            feature_share=rng.uniform(*C.SEARCH_RANGES["feature_share"]),
+            reg_alpha=math.exp(rng.uniform(*map(math.log, C.SEARCH_RANGES["reg_alpha"]))),
+            reg_lambda=math.exp(rng.uniform(*map(math.log, C.SEARCH_RANGES["reg_lambda"]))),
         )
         for _ in range(n)
     ]
@@ -49,19 +42,19 @@ def vectorized(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(rows)
 
 
-def weighted(rows: DataFrame, label: str = C.LABEL) -> DataFrame:
+def weighted(rows: DataFrame, label: str = C.LABEL, balanced: DataFrame | None = None) -> DataFrame:
     """Row weight: negatives / positives of the train rows for a positive, else 1."""
-    balance = encode.class_balance(rows, label).select("scale_pos_weight")
+    balance = encode.class_balance(rows if balanced is None else balanced, label).select("scale_pos_weight")
     return rows.crossJoin(F.broadcast(balance)).withColumn(  # one-row side
         "weight", F.when(F.col(label) == 1, F.col("scale_pos_weight")).otherwise(1.0)
     ).drop("scale_pos_weight")
 
 
 def fit(train: DataFrame, params: Params, label: str = C.LABEL, seed: int = 42) -> GBTClassificationModel:
-    """Fit on rows with ``features`` and ``weight`` columns."""
+    """One model by the session's own tree learner, on rows with ``features`` and ``weight`` columns."""
     return GBTClassifier(
         featuresCol="features", labelCol=label, weightCol="weight", maxDepth=params.max_depth, maxIter=params.n_trees,
-        stepSize=params.learning_rate, minInstancesPerNode=params.min_rows, subsamplingRate=params.subsample,
+        stepSize=params.learning_rate, minInstancesPerNode=max(1, round(params.min_child_weight)), subsamplingRate=params.subsample,
         featureSubsetStrategy=str(params.feature_share), seed=seed,
     ).fit(train)
 
@@ -70,45 +63,52 @@ def fit(train: DataFrame, params: Params, label: str = C.LABEL, seed: int = 42)
 class SearchResult:
     trials: DataFrame  # one row per trial
     best: Params
-    model: GBTClassificationModel
+    model: BoostedModel
+
+
+TRIAL_DDL = ("trial int, max_depth int, learning_rate double, n_trees int, min_child_weight double, subsample double, feature_share double, "
+             "reg_alpha double, reg_lambda double, grown int, best_trees int, valid_auc double, ended string, chosen boolean")
 
 
-def search(tf: TrainingFrame, trials: Sequence[Params], label: str = C.LABEL, seed: int = 42) -> SearchResult:
-    """Best validation ROC area over the given parameters; the data is staged once."""
-    prepared = stage(weighted(vectorized(tf.rows, tf.features), label).select("split", label, "features", "weight"), "train-vectors")
-    train, valid = prepared.where("split = 'train'"), prepared.where("split = 'valid'")
-    area = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
-    best = None
+def search(tf: TrainingFrame, trials: Sequence[Params], label: str = C.LABEL, seed: int = 42, stopping: boosting.Stopping = boosting.Stopping()) -> SearchResult:
+    """All trials grown side by side; the one with the best validation ROC area (ties: the earlier) is the model."""
+    if not trials:
+        raise ValueError("a search needs at least one trial")
+    rows = weighted(tf.rows.where("split in ('train', 'valid')"), label, tf.rows)
+    rows = stage(rows.select("loan_id", "split", label, "weight", *[F.col(f"`{c}`") for c in tf.features]), "search-rows")
+    grown, edges = boosting.fit_trials(rows, tf.features, trials, label, seed=seed, stopping=stopping)
+    area = lambda t: max(t.areas) if t.areas else float("-inf")
+    best = max(grown, key=lambda t: (area(t), -t.number))
     log = []
-    for i, p in enumerate(trials):
-        model = fit(train, p, label, seed)
-        auc = float(area.evaluate(model.transform(valid)))
-        log.append((i, p.max_depth, float(p.learning_rate), p.n_trees, p.min_rows, float(p.subsample), float(p.feature_share), auc))
-        if best is None or auc > best[0]:
-            best = (auc, p, model)
-    ddl = "trial int, max_depth int, learning_rate double, n_trees int, min_rows int, subsample double, feature_share double, valid_auc double"
-    return SearchResult(constant_table(tf.rows.sparkSession, log, ddl), best[1], best[2])
-
-
-def score(model: GBTClassificationModel, rows: DataFrame, features: Sequence[str], out: str = "pd") -> DataFrame:
-    """Add the positive-class probability; the vectors exist only inside the stage."""
+    for t in grown:
+        p = t.params
+        log.append((t.number, p.max_depth, float(p.learning_rate), p.n_trees, float(p.min_child_weight), float(p.subsample), float(p.feature_share),
+                    float(p.reg_alpha), float(p.reg_lambda), len(t.trees), t.best(), area(t) if t.areas else None, t.why, t is best))
+    release(rows)
+    return SearchResult(constant_table(tf.rows.sparkSession, log, TRIAL_DDL), best.params, boosting.model_of(best, tf.features, edges))
+
+
+def score(model: GBTClassificationModel | BoostedModel, rows: DataFrame, features: Sequence[str], out: str = "pd") -> DataFrame:
+    """Add the positive-class probability; vectors exist only inside the stage."""
+    if isinstance(model, BoostedModel):
+        return rows.withColumn(out, boosting.probability(model))
     scored = model.transform(vectorized(rows, features))
     return scored.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def evaluate(model: GBTClassificationModel, tf: TrainingFrame, split: str = "test", label: str = C.LABEL) -> DataFrame:
+def evaluate(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame, split: str = "test", label: str = C.LABEL) -> DataFrame:
     scored = stage(score(model, tf.rows.where(F.col("split") == split), tf.features).select(label, "pd"), "scored")
     return metrics.classification_metrics(scored, "pd", label)
 
 
-def importances(model: GBTClassificationModel, tf: TrainingFrame, k: int = 20) -> DataFrame:
-    values = model.featureImportances.toArray()
+def importances(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame, k: int = 20) -> DataFrame:
+    values = model.importances() if isinstance(model, BoostedModel) else model.featureImportances.toArray()
     rows = [(f, float(v)) for f, v in zip(tf.features, values)]
     table = constant_table(tf.rows.sparkSession, rows, "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def portfolio_scorer(model: GBTClassificationModel, tf: TrainingFrame, cats: dict[str, list[str]]):
+def portfolio_scorer(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame, cats: dict[str, list[str]]):
     """Scorer for stress runs: encodes metro and categories as in training, then scores."""
     def scorer(df: DataFrame) -> DataFrame:
         keep = df.columns
@@ -122,9 +122,10 @@ def portfolio_scorer(model: GBTClassificationModel, tf: TrainingFrame, cats: dic
     return scorer
 
 
-def save(model: GBTClassificationModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save(spark: SparkSession, model: BoostedModel, path: str) -> None:
+    """The model as one line of JSON in a folder any executor can reach."""
+    constant_table(spark, [(model.to_json(),)], "value string").write.mode("overwrite").text(path)
 
 
-def load(path: str) -> GBTClassificationModel:
-    return GBTClassificationModel.load(path)
+def load(spark: SparkSession, path: str) -> BoostedModel:
+    return BoostedModel.from_json(spark.read.text(path, wholetext=True).first()["value"])
