@@ -14,14 +14,15 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
@@ -184,8 +185,9 @@ class Segments:
         self.line_id = next((i for i, b in enumerate(self.bytes_of) if b == b"\n"), None)
         if any("\n" in p for p in pieces):
             self.line_id = None
-        #: Number of ids, the ids, their text, normalised bytes from the segment's start to each piece's end.
-        self.known: dict[str, tuple[int, str, str, list[int]]] = {}
+        #: Number of ids, the ids, their text, normalised bytes from the segment's start to each piece's
+        #: end (packed as 32-bit numbers) and to the segment's end.
+        self.known: dict[str, tuple[int, str, str, bytes, int]] = {}
 
     def cut(self, normal: str) -> list[str]:
         return self.CUT.findall(normal) if self.CUT else [normal] * bool(normal)
@@ -198,21 +200,21 @@ class Segments:
             known.clear()
             new = list(dict.fromkeys(segments))
         for s, ids in zip(new, self._ids(new), strict=True):
-            known[s] = (len(ids), ",".join(map(str, ids)), self._text(ids), self._ends(s, ids))
+            ends = self._ends(s, ids)
+            known[s] = (len(ids), ",".join(map(str, ids)), self._text(ids), struct.pack(f"<{len(ends)}i", *ends), ends[-1] if ends else 0)
 
     def _ends(self, segment: str, ids: list[int]) -> list[int]:
         return list(accumulate(self.lengths[i] if i not in self.unknown else len(segment.encode()) for i in ids))
 
-    def project(self, segments: list[str], source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def project(self, found: list[tuple[int, str, str, bytes, int]], source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Source bytes [begin, end) of all pieces of looked-up segments: each segment's remembered
         ends are shifted to its place in the normalised text and go through the alignment."""
-        if not segments:
+        if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        own = [self.known[s][3] for s in segments]
-        ends = np.fromiter(chain.from_iterable(own), np.int64)
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        widths = np.fromiter((x[-1] if x else 0 for x in own), np.int64, len(own))
-        ends += np.repeat(np.cumsum(widths) - widths, sizes)
+        sizes, _, _, packed, widths = zip(*found, strict=True)
+        ends = np.frombuffer(b"".join(packed), "<i4").astype(np.int64)
+        widths = np.array(widths, np.int64)
+        ends += np.repeat(np.cumsum(widths) - widths, np.array(sizes, np.int64))
         places = source[np.concatenate([[0], ends])]
         return places[:-1], places[1:]
 
@@ -240,7 +242,7 @@ class Segments:
         segments = self.cut(normal.text)
         self.lookup(segments)
         ids = [int(i) for s in segments for i in self.known[s][1].split(",") if i]
-        begins, ends = self.project(segments, normal.source)
+        begins, ends = self.project([self.known[s] for s in segments], normal.source)
         self.forget_long(segments)
         return [Piece(i, b, e) for i, b, e in zip(ids, begins.tolist(), ends.tolist(), strict=True)]
 
@@ -249,11 +251,11 @@ class Segments:
         text = self._text(ids)
         return text[1:] if self.spec.dummy_prefix and ids and self.bytes_of[ids[0]] is None and text.startswith(" ") else text
 
-    def decode_segments(self, parts: list[str]) -> str:
+    def decode_segments(self, found: list[tuple[int, str, str, bytes, int]]) -> str:
         """Of all ids of looked-up segments: no character crosses a cut, so their texts are joined."""
-        text = "".join([self.known[s][2] for s in parts])
-        first = int(self.known[parts[0]][1].split(",", 1)[0]) if parts else 0
-        return text[1:] if self.spec.dummy_prefix and parts and self.bytes_of[first] is None and text.startswith(" ") else text
+        text = "".join([x[2] for x in found])
+        first = int(found[0][1].split(",", 1)[0]) if found else 0
+        return text[1:] if self.spec.dummy_prefix and found and self.bytes_of[first] is None and text.startswith(" ") else text
 
     def _text(self, ids: list[int]) -> str:
         if self.special.isdisjoint(ids):
@@ -314,6 +316,12 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def _spread(docs: DataFrame, made: Column, names: list[str]) -> DataFrame:
+    """``docs`` with the fields of a struct as columns, through a name that no column has."""
+    held = f"made-{uuid.uuid4().hex}"
+    return docs.withColumn(held, made).withColumns({c: F.col(f"`{held}`")[c] for c in names}).drop(held)
+
+
 def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str = "text") -> DataFrame:
     """Adds ids, begins and ends (arrays, source bytes). A null text counts as empty (no pieces);
     rows and other columns stay, columns of those three names are replaced."""
@@ -326,8 +334,7 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str = "tex
             yield pd.DataFrame({
                 "ids": [[p.id for p in r] for r in rows], "begins": [[p.begin for p in r] for r in rows], "ends": [[p.end for p in r] for r in rows]})
 
-    return docs.withColumn("_pieces", pieces(F.col(text))).withColumns(
-        {c: F.col(f"_pieces.{c}") for c in ("ids", "begins", "ends")}).drop("_pieces")
+    return _spread(docs, pieces(F.col(text)), ["ids", "begins", "ends"])
 
 
 def decode(docs: DataFrame, model: str = "piece_bpe_32k.model", ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -346,8 +353,8 @@ def digests(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str = "te
     """Adds n_tokens, ids_sha256, decoded_sha256, spans_sha256 and span_bytes without keeping the ids.
 
     A text is encoded, every piece is projected to its source bytes and the ids are decoded in the
-    same step; nothing of it is kept. ``spans_sha256`` is of all pieces' begins and then ends as text
-    with commas, ``span_bytes`` the number of source bytes that the pieces cover.
+    same step; nothing of it is kept. ``spans_sha256`` is of all pieces' begins and then ends as 64-bit
+    numbers, ``span_bytes`` the number of source bytes that the pieces cover.
     """
 
     @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_sha256 string, span_bytes bigint")
@@ -357,11 +364,12 @@ def digests(docs: DataFrame, model: str = "piece_bpe_32k.model", text: str = "te
             yield pd.DataFrame([_folded(tool, t or "") for t in batch], columns=names)
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "span_bytes"]
-    return docs.withColumn("_folded", folded(F.col(text))).withColumns({c: F.col(f"_folded.{c}") for c in names}).drop("_folded")
+    return _spread(docs, folded(F.col(text)), names)
 
 
-def spans_text(begins: np.ndarray, ends: np.ndarray) -> str:
-    return ",".join(map(str, [*begins.tolist(), *ends.tolist()]))
+def spans_sha256(begins: np.ndarray, ends: np.ndarray) -> str:
+    """Of all begins and then all ends, as 64-bit little-endian numbers."""
+    return hashlib.sha256(begins.astype("<i8").tobytes() + ends.astype("<i8").tobytes()).hexdigest()
 
 
 def _folded(tool: Segments, text: str) -> tuple[int, str, str, str, int]:
@@ -371,7 +379,7 @@ def _folded(tool: Segments, text: str) -> tuple[int, str, str, str, int]:
     found = [tool.known[s] for s in parts]
     sha = lambda s: hashlib.sha256(s.encode("utf-8", "replace")).hexdigest()
     ids_text = ",".join([x[1] for x in found])
-    decoded = tool.decode_segments(parts)
-    begins, ends = tool.project(parts, normal.source)
+    decoded = tool.decode_segments(found)
+    begins, ends = tool.project(found, normal.source)
     tool.forget_long(parts)
-    return len(begins), sha(ids_text), sha(decoded), sha(spans_text(begins, ends)), int((ends - begins).sum())
+    return len(begins), sha(ids_text), sha(decoded), spans_sha256(begins, ends), int((ends - begins).sum())
