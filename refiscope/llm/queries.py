@@ -72,7 +72,7 @@ def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"), words=51)
 
 
 # --- 4: benchmark decontamination

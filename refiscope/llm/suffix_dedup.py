@@ -1,20 +1,23 @@
 """Removal of repeated byte strings by blockwise suffix sorting with a difference cover.
 
 A suffix is cut off after ``length`` bytes (400). Suffixes go to buckets by the least hashed
-64-byte window among those 400 bytes: equal suffixes have equal windows at equal places, so each
+64-byte window among those 400 bytes (shorter for strings under 128): equal suffixes have equal windows at equal places, so each
 bucket can be sorted by itself. Neighbouring suffixes of a text share the window, which makes runs
 ("contexts") of suffixes around one anchor; a context whose bytes occur twice is settled as a whole,
 and a bucket of one context cannot repeat. What is left are the contexts at the edges of repeats.
 
 One bucket at a time they are sorted. Ties after the first bytes are not compared byte by byte:
 ranks of a difference-cover sample, those positions whose offset modulo 21 is in {0, 1, 4, 14, 16},
-are found first, over the 380 bytes from each of them. From any two suffixes the same step of at
-most 20 bytes leads to two sample positions; contexts are laid out with their anchors at offset 0,
-so suffixes that can be equal have equal offsets and the step is one table look-up. First 21 bytes,
-sample rank and last 20 bytes cover the 400 bytes. Memory is bounded by the bucket; a bucket of more
-than ``BUCKET`` different contexts is settled by counting its suffixes' digests with Spark instead.
-
-Strings are told apart by 64-bit digests inside one bucket and offset.
+are sorted first, by the 378 bytes from each of them: strings of 21 bytes get their rank in the order
+of bytes, and pairs of ranks are doubled, as a step of 21 bytes leads from one sample position to the
+next of the same kind. From any two suffixes the same step of at most 20 bytes leads to two sample
+positions; contexts are laid out with their anchors at offset 0, so suffixes that can be equal have
+equal offsets and the step is one table look-up. First 21 bytes, sample rank and last 22 bytes order
+the 400 bytes, byte by byte without a digest. Memory is bounded by the bucket; a bucket of more than
+``BUCKET`` different contexts is settled by counting its suffixes' digests with Spark instead.
+
+Contexts that repeat as a whole, and suffixes of such large buckets, are told apart by 64-bit digests
+inside one bucket.
 """
 
 from __future__ import annotations
@@ -28,18 +31,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import release, stage
+from . import word_windows
 
-WINDOW = 64
+#: Bytes of the window that names a bucket are two to this power, fewer for short strings.
+WINDOW_POWER = 6
 COVER = (0, 1, 4, 14, 16)
 PERIOD = 21
 #: Steps from an offset to the next position of the cover.
 STEPS = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
 BUCKET = 8192
-#: Bytes of a word's code, when repeats are measured in words.
-CODE = 6
-_WORD = re.compile(r"\S+")
-_WORDS_REMEMBERED = 1 << 20
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _STARTS_AT_ONCE = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 _CONTEXTS_AT_ONCE = 2048
@@ -79,12 +81,14 @@ class Digests:
 def anchors(raw: bytes, length: int = 400) -> list[tuple[np.ndarray, ...]]:
     """Runs of starts with one anchor: lo, hi (both included), anchor, bucket, digest of the context."""
     out = []
+    power = max(0, min(WINDOW_POWER, length.bit_length() - 2))
+    half = length.bit_length() - 1
     for base in range(0, len(raw) - length + 1, _STARTS_AT_ONCE):
         n = min(_STARTS_AT_ONCE, len(raw) - length + 1 - base)
         digests = Digests(np.frombuffer(raw, np.uint8, n + length - 1, base))
-        windows = digests.power(6)
+        windows = digests.power(power)
         key = (windows & ~_PLACE) | np.arange(len(windows), dtype=np.uint64)  # leftmost of equal windows
-        reach, width = 1, length - WINDOW + 1
+        reach, width = 1, length - (1 << power) + 1
         while reach * 2 <= width:
             key = np.minimum(key[:-reach], key[reach:])
             reach *= 2
@@ -94,9 +98,11 @@ def anchors(raw: bytes, length: int = 400) -> list[tuple[np.ndarray, ...]]:
         cut = np.flatnonzero(place[1:] != place[:-1]) + 1
         lo, hi = np.concatenate([[0], cut]), np.concatenate([cut, [n]]) - 1
         at = place[lo]
-        long = digests.power(8)
-        size = hi - lo + length
-        whole = _mix(_mix(long[lo], long[lo + (size - 256) // 2]), _mix(long[lo + size - 256], size.astype(np.uint64)))
+        long = digests.power(half)
+        size = hi - lo + length  # under four times the power: four strings of it cover all
+        rest = size - (1 << half)
+        whole = _mix(_mix(long[lo], long[lo + rest // 3]), _mix(long[lo + 2 * rest // 3], long[lo + rest]))
+        whole = _mix(whole, size.astype(np.uint64))
         out.append((lo + base, hi + base, at + base, windows[at].view(np.int64), whole.view(np.int64)))
     return out
 
@@ -124,8 +130,44 @@ def _joined(parts: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def _suffix_keys(contexts: list[bytes], offsets: np.ndarray, runs: np.ndarray, length: int):
-    """For all suffixes of contexts: index of the context, offset before the anchor, head, cover rank, tail."""
+def _dense(*keys: np.ndarray) -> np.ndarray:
+    """Ranks, from 0 without gaps, of the rows of key columns, the first of which counts most."""
+    rank = np.unique(keys[0], return_inverse=True)[1]
+    for key in keys[1:]:
+        other = key if key.dtype == np.int64 else np.unique(key, return_inverse=True)[1]
+        rank = np.unique(rank * (int(other.max(initial=0)) + 1) + other, return_inverse=True)[1]
+    return rank
+
+
+class Ordered:
+    """Order of the substrings of a buffer, by 8 bytes at a time read as one number."""
+
+    def __init__(self, data: np.ndarray):
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        self.words = np.lib.stride_tricks.sliding_window_view(padded, 8)[: len(data)].copy().view(">u8").ravel().astype(np.uint64)
+
+    def of(self, starts: np.ndarray, length: int) -> list[np.ndarray]:
+        """Key columns of strings of one length; the last two may overlap."""
+        places = [*range(0, length - 8, 8), length - 8] if length >= 8 else [0]
+        keys = [self.words[starts + p] for p in places]
+        return keys if length >= 8 else [keys[0] >> np.uint64(8 * (8 - length))]
+
+
+def _cover_ranks(ordered: Ordered, size: int, blocks: int) -> np.ndarray:
+    """Ranks of the strings of ``blocks`` periods that begin at the cover's positions, in their order in
+    the buffer: first of one period each, then doubled, since a position one period on is in the cover too."""
+    sample = (np.arange(0, size - size % PERIOD, PERIOD)[:, None] + np.array(COVER)).ravel()
+    rank, have = _dense(*ordered.of(np.minimum(sample, size - PERIOD), PERIOD)), 1
+    while have < blocks:
+        step = min(have, blocks - have)
+        after = np.minimum(np.arange(len(rank)) + len(COVER) * step, len(rank) - 1)
+        rank, have = _dense(rank, rank[after]), have + step
+    return rank
+
+
+def _suffix_keys(contexts: list[bytes], offsets: np.ndarray, runs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """For all suffixes of contexts: index of the context, offset before the anchor and the columns by
+    which they are sorted: first bytes, rank of the cover's string, last bytes."""
     width = np.array([len(c) for c in contexts])
     lead = (-offsets) % PERIOD  # anchors at offset 0 modulo the period
     begin = np.concatenate([[0], np.cumsum(-(-(lead + width) // PERIOD) * PERIOD + PERIOD)])
@@ -133,24 +175,28 @@ def _suffix_keys(contexts: list[bytes], offsets: np.ndarray, runs: np.ndarray, l
     begin = begin[:-1] + lead
     for at, c in zip(begin.tolist(), contexts, strict=True):
         data[at : at + len(c)] = np.frombuffer(c, np.uint8)
-    digests = Digests(data)
     owner = np.repeat(np.arange(len(contexts)), runs)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
     starts = begin[owner] + inside
-    reach = length - PERIOD + 1
-    ranked = starts + STEPS[starts % PERIOD]
-    sample = np.unique(ranked)
-    _, rank = np.unique(digests.of(sample, reach), return_inverse=True)
-    return owner, offsets[owner] - inside, digests.of(starts, PERIOD), rank[np.searchsorted(sample, ranked)], digests.of(starts + length - PERIOD + 1, PERIOD - 1)
+    ordered, blocks = Ordered(data), (length - PERIOD + 1) // PERIOD
+    if blocks < 1:  # too short for a cover
+        return owner, offsets[owner] - inside, ordered.of(starts, length)
+    rank = _cover_ranks(ordered, len(data), blocks)
+    residue = starts % PERIOD
+    slot = np.array([COVER.index((r + STEPS[r]) % PERIOD) for r in range(PERIOD)])[residue]
+    ranked = rank[(starts + STEPS[residue]) // PERIOD * len(COVER) + slot]
+    return owner, offsets[owner] - inside, [*ordered.of(starts, PERIOD), ranked, *ordered.of(starts + blocks * PERIOD, length - blocks * PERIOD)]
 
 
 def repeated(group: np.ndarray, contexts: list[bytes], offsets: np.ndarray, copies: np.ndarray, length: int = 400) -> list[np.ndarray]:
     """Per context, which of its suffixes occur at least twice in their bucket ``group``, copies counted."""
     runs = np.array([len(c) - length + 1 for c in contexts])
-    owner, before, head, rank, tail = _suffix_keys(contexts, offsets, runs, length)
-    order = np.lexsort((rank, tail, head, before, group[owner]))
-    keys = [x[order] for x in (group[owner], before, head, tail, rank)]
-    new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]) if len(order) else np.zeros(0, bool)
+    owner, before, columns = _suffix_keys(contexts, offsets, runs, length)
+    spread = int(before.max(initial=0)) + 1 - int(before.min(initial=0))
+    part = np.unique(group, return_inverse=True)[1][owner] * spread + before - int(before.min(initial=0))
+    order = np.lexsort((*columns[::-1], part))
+    keys = [x[order] for x in (part, *columns)]
+    new = np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]) if len(order) else np.zeros(0, bool)
     number = np.cumsum(new) - 1
     total = np.bincount(number, weights=copies[owner[order]]) if len(order) else np.zeros(0)
     twice = np.zeros(len(order), bool)
@@ -223,11 +269,13 @@ def repeated_starts(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
 def _repeated_starts(named: DataFrame, length: int) -> DataFrame:
     schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, at bigint, bucket bigint, whole bigint"
     find = _anchor_rows(length)
-    every = named.where(F.length("raw") >= length).mapInPandas(lambda b: _joined(find(b), 20_000), schema)
-    every = stage(every, "suffix-anchors")
-    shared = every.groupBy("bucket").agg(F.count("*").alias("all")).where("all > 1").select("bucket")
+    found = named.where(F.length("raw") >= length).mapInPandas(lambda b: _joined(find(b), 20_000), schema)
+    found = stage(found, "suffix-anchors")
+    shared = found.groupBy("bucket").agg(F.count("*").alias("all")).where("all > 1").select("bucket")
     # From files both sides are shuffled for the join, so a hot bucket can be split.
-    every = stage(every.join(stage(shared, "suffix-buckets"), "bucket"), "suffix-shared")
+    shared = stage(shared, "suffix-buckets")
+    every = stage(found.join(shared, "bucket"), "suffix-shared")
+    release(found, shared)
 
     entry = F.struct("k1", "k2", "lo", "hi", "at")
     contexts = stage(every.groupBy("bucket", "whole").agg(F.count("*").alias("n"), F.min(entry).alias("one")), "suffix-contexts")
@@ -278,89 +326,66 @@ def without(raw: bytes, removed: list[tuple[int, int]]) -> bytes:
     return b"".join(keep)
 
 
-def _coded(docs: DataFrame, words: int) -> DataFrame:
-    """Texts of at least ``words`` words as ``CODE`` bytes per word, so that repeats of words are repeats of bytes."""
+def word_spans(raw: bytes, gone: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Bytes [begin, end) of words [begin, end)."""
+    if not gone:
+        return []
+    places = [m.span() for m in _WORD.finditer(raw)]
+    return [(places[a][0], places[b - 1][1]) for a, b in gone]
 
-    @F.pandas_udf("binary")
-    def coded(raws: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, bytes] = {}
-        for batch in raws:
-            out = []
-            for raw in batch:
-                own = _WORD.findall(bytes(raw).decode("utf-8", "surrogateescape"))
-                if len(own) < words:
-                    out.append(b"")
-                    continue
-                if len(known) > _WORDS_REMEMBERED:
-                    known.clear()
-                for w in set(own).difference(known):
-                    known[w] = hashlib.blake2b(w.encode("utf-8", "surrogateescape"), digest_size=CODE).digest()
-                out.append(b"".join([known[w] for w in own]))
-            yield pd.Series(out, dtype=object)
 
-    return docs.withColumn("raw", coded("raw"))
+def _with_runs(docs: DataFrame, length: int, words: int | None, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with k1, k2, raw, runs (of starts) and word_runs (packed windows of ``words`` words that occur twice)."""
+    own = _keyed(docs, doc_id, text).select("k1", "k2", "raw")
+    runs = _repeated_starts(own, length).groupBy("k1", "k2").agg(F.collect_list(F.array("lo", "hi")).alias("runs"))
+    joined = _keyed(docs, doc_id, text).join(stage(runs, "suffix-runs"), ["k1", "k2"], "left")
+    if not words:
+        return joined.withColumn("word_runs", F.lit(None).cast("array<bigint>"))
+    more = word_windows.repeated_windows(own, words, keep_first=False).groupBy("k1", "k2").agg(F.collect_list("run").alias("word_runs"))
+    return joined.join(stage(more, "suffix-word-runs"), ["k1", "k2"], "left")
 
 
-def repeated_words(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """k1, k2, lo, hi: runs of words (both included, from 0) whose next ``words`` words start elsewhere
-    too, whatever white space is between them."""
-    named = _coded(_keyed(docs, doc_id, text).select("k1", "k2", "raw"), words)
-    found = _repeated_starts(named, words * CODE)
-    lo, hi = F.ceil(F.col("lo") / CODE), F.floor(F.col("hi") / CODE)  # starts inside a code are no words
-    return found.select("k1", "k2", lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
-
-
-def word_spans(raw: bytes, runs: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
-    """Bytes [begin, end) of the words that the runs cover."""
-    whole = raw.decode("utf-8", "surrogateescape")
-    places = [m.span() for m in _WORD.finditer(whole)]
-    size = lambda n: len(whole[:n].encode("utf-8", "surrogateescape"))
-    return [(size(places[a][0]), size(places[b - 1][1])) for a, b in spans(runs, words)]
-
-
-def _with_runs(docs: DataFrame, length: int, doc_id: str, text: str) -> tuple[DataFrame, Column]:
-    runs = repeated_starts(docs, length, doc_id, text).groupBy("k1", "k2").agg(F.collect_list(F.array("lo", "hi")).alias("runs"))
-    return _keyed(docs, doc_id, text).join(stage(runs, "suffix-runs"), ["k1", "k2"], "left"), F.coalesce(F.col("runs"), F.array().cast("array<array<bigint>>"))
+def _both() -> tuple[Column, Column]:
+    return F.coalesce(F.col("runs"), F.array().cast("array<array<bigint>>")), F.coalesce(F.col("word_runs"), F.array().cast("array<bigint>"))
 
 
 def _spans_of(runs, length: int) -> list[tuple[int, int]]:
     return spans([(int(r[0]), int(r[1])) for r in runs], length)
 
 
-def removal_report(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row, null texts as empty.
+def removal_report(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row, null texts as empty; with ``words``
+    also n_word_repeats, the words in passages of so many words that occur at two places.
 
     A byte goes if a string of ``length`` bytes over it starts at another place of any document,
-    overlaps included. Repeated rows count as places of their own. Only the two columns are read.
+    overlaps included; no first place is kept. Repeated rows count as places of their own. Words are
+    counted, they don't go. Only the two columns are read.
     """
-    joined, runs = _with_runs(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), length, "doc_id", "text")
+    joined = _with_runs(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), length, words, "doc_id", "text")
 
-    @F.pandas_udf("n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    def report(raws: pd.Series, all_runs: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_word_repeats bigint")
+    def report(raws: pd.Series, all_runs: pd.Series, all_words: pd.Series) -> pd.DataFrame:
         out = []
-        for raw, own in zip(raws, all_runs, strict=True):
+        for raw, own, counted in zip(raws, all_runs, all_words, strict=True):
             gone = _spans_of(own, length)
-            out.append((len(raw), sum(e - b for b, e in gone), len(gone), hashlib.sha256(without(raw, gone)).hexdigest()))
-        return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            again = sum(e - b for b, e in word_windows.intervals(counted, words)) if len(counted) else 0
+            out.append((len(raw), sum(e - b for b, e in gone), len(gone), hashlib.sha256(without(raw, gone)).hexdigest(), again))
+        return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_word_repeats"])
 
     # Spans that touch are one maximal run.
-    return joined.select("doc_id", report("raw", runs).alias("r")).select("doc_id", "r.*")
+    found = joined.select("doc_id", report("raw", *_both()).alias("r")).select("doc_id", "r.*")
+    return found if words else found.drop("n_word_repeats")
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
     """The documents with every repeated string cut out of the text; all rows and columns stay, null
-    texts too. A character of which only a part would be left goes with it. With ``words``, passages
-    of so many words that occur twice go as well, however few bytes they have."""
+    texts too. Every copy goes, the first as well, so two equal texts of at least ``length`` bytes are
+    both left empty. A character of which only a part would be left goes with it. With ``words``,
+    passages of so many words that occur twice go as well, however few bytes they have."""
     names = docs.columns
     own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    key, body = f"c{names.index(doc_id)}", f"c{names.index(text)}"
-    joined, runs = _with_runs(own, length, key, body)
-    none = F.array().cast("array<array<bigint>>")
-    by_word, found = none, F.col("runs").isNotNull()
-    if words:
-        more = repeated_words(own, words, key, body).groupBy("k1", "k2").agg(F.collect_list(F.array("lo", "hi")).alias("word_runs"))
-        joined = joined.join(stage(more, "suffix-word-runs"), ["k1", "k2"], "left")
-        by_word, found = F.coalesce(F.col("word_runs"), none), found | F.col("word_runs").isNotNull()
+    body = f"c{names.index(text)}"
+    joined = _with_runs(own, length, words, f"c{names.index(doc_id)}", body)
 
     @F.pandas_udf("string")
     def kept(raws: pd.Series, all_runs: pd.Series, all_words: pd.Series) -> pd.Series:
@@ -368,9 +393,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
         for raw, own, counted in zip(raws, all_runs, all_words, strict=True):
             gone = _spans_of(own, length)
             if len(counted):
-                gone = _merged(gone + word_spans(bytes(raw), [(int(r[0]), int(r[1])) for r in counted], words))
+                gone = _merged(gone + word_spans(raw, word_windows.intervals(counted, words)))
             out.append(without(raw, gone).decode("utf-8", "ignore"))
         return pd.Series(out, dtype=object)
 
-    done = {text: F.when(found, kept("raw", runs, by_word)).otherwise(F.col(body))}
+    found = F.col("runs").isNotNull() | F.col("word_runs").isNotNull()
+    done = {text: F.when(found, kept("raw", *_both())).otherwise(F.col(body))}
     return joined.select(*[done.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])

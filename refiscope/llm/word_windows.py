@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import release, stage
 from .rolling import Rolling, mixed, word_digests
 
 WINDOW = 20
@@ -133,40 +133,41 @@ def _packed(lo: Column, n: Column) -> Column:
     return (F.shiftleft(lo, _LENGTH_BITS) + n).alias("run")
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_windows(named: DataFrame, window: int = WINDOW, keep_first: bool = True) -> DataFrame:
     """k1, k2, run: windows, as first word and number of windows in one long, whose words also start
-    earlier: in a text with a smaller id (null first; equal ids by the texts' hash) or before in the same text."""
-    return _repeated(_named(docs, doc_id, text).select("k1", "k2", "raw"), window)
-
-
-def _repeated(named: DataFrame, window: int) -> DataFrame:
+    earlier: in a text with a smaller id (null first; equal ids by the texts' hash) or before in the same
+    text. Without ``keep_first`` all windows whose words start at two places. ``named``: k1, k2, raw."""
     if not 1 <= window < 1 << (_LENGTH_BITS - 2):
         raise ValueError("a window has at least one word and fewer than 2^18")
     schema = "k1 bigint, k2 bigint, lo bigint, n int, before int, anchor bigint, whole bigint"
-    # A row that stands twice is one text: it doesn't start before itself.
-    every = stage(named.mapInPandas(_run_rows(window), schema), "window-runs")
+    runs = stage(named.mapInPandas(_run_rows(window), schema), "window-runs")
     # Partial counts before the shuffle; an anchor with one run is left behind.
-    shared = every.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1").select("anchor")
+    shared = runs.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1").select("anchor")
     shared = stage(shared, "window-anchors")
-    every = stage(every.join(shared, "anchor"), "window-shared")
+    every = stage(runs.join(shared, "anchor"), "window-shared")
+    release(runs, shared)
 
     entry = F.struct("k1", "k2", "lo")
     firsts = every.groupBy("anchor", "whole").agg(F.count("*").alias("copies"), F.min(entry).alias("first"), F.first("n").alias("n"), F.first("before").alias("before"))
     firsts = stage(firsts, "window-firsts")
     # 1. Runs that start earlier as a whole.
     again = every.join(firsts.where("copies > 1").select("anchor", "whole", "first"), ["anchor", "whole"])
-    whole = again.where(F.struct("k1", "k2", "lo") != F.col("first")).select("k1", "k2", _packed(F.col("lo"), F.col("n").cast("bigint")))
+    whole = (again.where(F.struct("k1", "k2", "lo") != F.col("first")) if keep_first else again).select("k1", "k2", _packed(F.col("lo"), F.col("n").cast("bigint")))
     # 2. Windows of first runs whose anchor has several kinds.
     kinds = firsts.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
-    open_runs = firsts.join(stage(kinds, "window-kinds"), "anchor").select("anchor", "first.*", "n", "before")
+    kinds = stage(kinds, "window-kinds")
+    open_runs = firsts.join(kinds, "anchor").select("anchor", "first.*", "n", "before")
     listed = open_runs.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("lo", "n", "before", "anchor"))).alias("r"))
     listed = stage(listed.select("k1", "k2", *[F.col(f"r.{c}").alias(c) for c in ("lo", "n", "before", "anchor")]), "window-listed")
+    release(kinds)
     texts = named.join(listed, ["k1", "k2"])
     single = texts.mapInPandas(_window_rows(window), "k1 bigint, k2 bigint, place bigint, anchor bigint, before int, print bigint")
     single = stage(single, "window-prints")
+    release(listed)
     at = F.struct("k1", "k2", "place")
     counted = single.groupBy("anchor", "before", "print").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").drop("last")
-    later = single.join(stage(counted, "window-repeats"), ["anchor", "before", "print"]).where(at != F.col("first"))
+    later = single.join(stage(counted, "window-repeats"), ["anchor", "before", "print"])
+    later = later.where(at != F.col("first")) if keep_first else later
     return whole.unionByName(later.select("k1", "k2", _packed(F.col("place"), F.lit(1).cast("bigint"))).distinct())
 
 
@@ -201,7 +202,7 @@ def removal_spans(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
     Texts of any length are read whole; other columns are not read.
     """
     named = _named(docs, doc_id, text)
-    runs = _repeated(named.select("k1", "k2", "raw"), window).groupBy("k1", "k2").agg(F.collect_list("run").alias("runs"))
+    runs = repeated_windows(named.select("k1", "k2", "raw"), window).groupBy("k1", "k2").agg(F.collect_list("run").alias("runs"))
     joined = named.join(stage(runs, "window-runs-of-texts"), ["k1", "k2"], "left")
 
     @F.pandas_udf("n_words bigint, begins array<bigint>, ends array<bigint>, kept string")

@@ -91,10 +91,13 @@ def test_decontamination_finds_what_shared_words_show(spark):
 
     from conftest import SF
 
-    words = lambda t: re.findall(r"\w+", t.lower())
-    shingles = lambda t: {tuple(words(t)[i : i + 5]) for i in range(len(words(t)) - 4)}
+    def shingles(text):
+        words = re.findall(r"\w+", text.lower())
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     items = [shingles(r.text) for r in bench.collect()]
-    expected = {r.doc_id for r in docs.collect() if any(len(s & shingles(r.text)) >= 0.8 * len(s) for s in items)}
+    of_docs = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    expected = {i for i, own in of_docs.items() if any(len(s & own) >= 0.8 * len(s) for s in items)}
     got = {r.doc_id for r in decontaminate.contaminated(docs, bench).where("contaminated").collect()}
     assert expected and got == expected
