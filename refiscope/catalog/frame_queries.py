@@ -225,6 +225,43 @@ def onehot_categories(spark, sf):
     return long.distinct()
 
 
+@query("category_vocabulary", sql_with("labelled", """
+SELECT column_name, category, row_number() OVER (ORDER BY column_name, category) - 1 AS code FROM (
+SELECT 'property_type' AS column_name, property_type AS category FROM labelled GROUP BY ALL
+UNION ALL SELECT 'sponsor_credit_tier', sponsor_credit_tier FROM labelled GROUP BY ALL
+UNION ALL SELECT 'amortization_type', amortization_type FROM labelled GROUP BY ALL
+UNION ALL SELECT 'balloon_flag', CAST(balloon_flag AS VARCHAR) FROM labelled GROUP BY ALL) WHERE category IS NOT NULL"""))
+def category_vocabulary(spark, sf):
+    return encode.vocabulary(labelled(spark, sf))
+
+
+@query("sparse_training_rows", sql_with("labelled", f"""
+SELECT loan_id, split, {" + ".join(f"CAST(coalesce({c}, 0) <> 0 AS INTEGER)" for c in C.NUMERIC_FEATURES)} + {len(C.ONEHOT_COLUMNS)} AS n_entries,
+  (SELECT count(DISTINCT amortization_type) + count(DISTINCT balloon_flag) + count(DISTINCT property_type) FROM labelled) + ascii(sponsor_credit_tier) - 65 + {len(C.NUMERIC_FEATURES)} AS last_index
+FROM labelled"""))
+def sparse_training_rows(spark, sf):
+    """Entries of every row's sparse vector, and its last place: the sponsor's tier."""
+    rows = labelled(spark, sf)
+    coded = encode.with_codes(rows, encode.vocabulary(rows))
+    held = coded.select("loan_id", "split", encode.sparse_vector(C.NUMERIC_FEATURES, encode.code_columns()).alias("v"))
+    return held.select("loan_id", "split", F.size("v.indices").alias("n_entries"), F.array_max("v.indices").alias("last_index"))
+
+
+_INDICATORS = [(c, v) for c, values in (("property_type", ("hotel", "industrial", "multifamily", "office", "retail")), ("sponsor_credit_tier", "ABC"),
+                                        ("amortization_type", ("amortizing", "interest_only")), ("balloon_flag", ("false", "true"))) for v in values]
+
+
+@query("leakage_gate_correlations", sql_with("labelled", "SELECT feature, round(c, 6) AS abs_corr FROM (" + " UNION ALL ".join([
+    *[f"SELECT '{c}' AS feature, abs(corr({c}, distress_at_maturity)) AS c FROM labelled WHERE split = 'train'" for c in C.NUMERIC_FEATURES],
+    *[f"SELECT '{c}_{v}', abs(corr(CAST(CAST({c} AS VARCHAR) = '{v}' AS INTEGER), distress_at_maturity)) FROM labelled WHERE split = 'train'" for c, v in _INDICATORS]]) +
+    ") WHERE c IS NOT NULL AND NOT isnan(c)"))
+def leakage_gate_correlations(spark, sf):
+    """Correlation with the label of every number and of every category's indicator, from one moment pass."""
+    rows = labelled(spark, sf)
+    vocab = encode.vocabulary(rows)
+    return rounded(encode.sparse_correlations(encode.with_codes(rows, vocab), C.NUMERIC_FEATURES, encode.code_columns(), vocab, C.LABEL))
+
+
 ONEHOT = [*[f"property_type_{t}" for t in ("hotel", "industrial", "multifamily", "office", "retail")],
           *[f"sponsor_credit_tier_{t}" for t in "ABC"], "amortization_type_amortizing", "amortization_type_interest_only",
           "balloon_flag_false", "balloon_flag_true"]

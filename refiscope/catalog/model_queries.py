@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import encode, explain, metrics, treeshap
+from ..operators import explain, metrics, treeshap
 from ..plans import classifier, frame, stress
 from ..session import scratch_path, stage
 from . import frame_queries as FQ
@@ -18,7 +18,7 @@ TRIALS = 20
 
 
 def training(spark, sf):
-    return frame.assemble_frame(FQ.labelled(spark, sf))
+    return frame.assemble_sparse(FQ.labelled(spark, sf), gate=False)
 
 
 #: Folder of the fitted model per application and input: the search runs once for all queries of a session.
@@ -74,7 +74,7 @@ def classifier_test_metrics(spark, sf):
 SELECT split, count(*) AS n_loans, CAST(sum({C.LABEL}) AS BIGINT) AS positives, TRUE AS probabilities FROM labelled WHERE split IS NOT NULL GROUP BY split"""))
 def classifier_scores_by_split(spark, sf):
     tf = training(spark, sf)
-    scored = classifier.score(searched(spark, sf, tf)[0], tf.rows, tf.features).where("split is not null")
+    scored = classifier.score(searched(spark, sf, tf)[0], tf.rows).where("split is not null")
     inside = F.min(F.col("pd").between(0.0, 1.0))
     return scored.groupBy("split").agg(F.count(F.lit(1)).alias("n_loans"), F.sum(C.LABEL).cast("bigint").alias("positives"), inside.alias("probabilities"))
 
@@ -83,30 +83,28 @@ def classifier_scores_by_split(spark, sf):
 def classifier_test_confusion(spark, sf):
     """Rows of the test split by label, summed from the confusion matrix."""
     tf = training(spark, sf)
-    scored = classifier.score(searched(spark, sf, tf)[0], tf.rows.where("split = 'test'"), tf.features)
+    scored = classifier.score(searched(spark, sf, tf)[0], tf.rows.where("split = 'test'"))
     return metrics.confusion_matrix(scored, "pd", C.LABEL).groupBy("actual").agg(F.sum("n").alias("n"))
 
 
 @query("classifier_feature_importance")
 def classifier_feature_importance(spark, sf):
-    tf = training(spark, sf)
-    return classifier.importances(searched(spark, sf, tf)[0], tf)
+    return classifier.importances(searched(spark, sf)[0])
 
 
 @query("classifier_importance_facts", "SELECT TRUE AS sums_to_one, TRUE AS none_negative, TRUE AS sorted_down")
 def classifier_importance_facts(spark, sf):
     """Gains are shares of the whole, largest first."""
-    tf = training(spark, sf)
-    every = classifier.importances(searched(spark, sf, tf)[0], tf, len(tf.features))
+    model = searched(spark, sf)[0]
+    every = classifier.importances(model, k=len(model.features))
     listed = every.agg(F.collect_list("importance").alias("v"), F.sum("importance").alias("total"), F.min("importance").alias("least"))
     return listed.select((F.abs(F.col("total") - 1.0) < 1e-9).alias("sums_to_one"), (F.col("least") >= 0).alias("none_negative"),
                          (F.col("v") == F.sort_array("v", asc=False)).alias("sorted_down"))
 
 
 def stressed(spark, sf):
-    labelled = FQ.labelled(spark, sf)
-    tf = frame.assemble_frame(labelled)
-    scorer = classifier.portfolio_scorer(searched(spark, sf, tf)[0], tf, encode.categories(labelled))
+    tf = training(spark, sf)
+    scorer = classifier.portfolio_scorer(searched(spark, sf, tf)[0], tf)
     return stage(stress.run_scenarios(portfolio(spark, sf), stress.scenario_table(spark), scorer), "stress-results")
 
 
@@ -129,16 +127,16 @@ def _explained(spark, sf):
     tf = training(spark, sf)
     model = searched(spark, sf, tf)[0]
     expected, leaves = treeshap.boosted_leaves(model)
-    scored = classifier.score(model, tf.rows, tf.features)
-    return treeshap.with_drivers(scored, tf.features, leaves), expected
+    scored = classifier.score(model, tf.rows)
+    return treeshap.with_drivers(scored, model.features, leaves, columns=model.columns()), expected
 
 
 def _top_explained(spark, sf):
     tf = training(spark, sf)
     model = searched(spark, sf, tf)[0]
     _, leaves = treeshap.boosted_leaves(model)
-    top = explain.riskiest(classifier.score(model, tf.rows, tf.features), "pd", 100)
-    return explain.explanation_rows(treeshap.with_drivers(top, tf.features, leaves), "pd", "drivers", 10)
+    top = explain.riskiest(classifier.score(model, tf.rows), "pd", 100)
+    return explain.explanation_rows(treeshap.with_drivers(top, model.features, leaves, columns=model.columns()), "pd", "drivers", 10)
 
 
 @query("classifier_top_risk_explanations")
@@ -187,7 +185,7 @@ def classifier_contribution_additivity(spark, sf):
     tf = training(spark, sf)
     model = searched(spark, sf, tf)[0]
     expected, leaves = treeshap.boosted_leaves(model)
-    scored = classifier.score(model, tf.rows, tf.features).withColumn("_shap", treeshap.contributions(tf.features, leaves))
+    scored = classifier.score(model, tf.rows).withColumn("_shap", treeshap.contributions(model.features, leaves, model.columns()))
     total = F.aggregate("_shap", F.lit(0.0), lambda a, b: a + b) + F.lit(expected)
     margin = F.log(F.col("pd") / (1.0 - F.col("pd")))
     return scored.agg(F.count(F.lit(1)).alias("n"), (F.max(F.abs(total - margin)) < 1e-6).alias("additive"))

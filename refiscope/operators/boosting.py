@@ -5,7 +5,10 @@ feature and is staged. Trees grow level by level: one pass over the rows adds up
 hessians of all trials by (trial, node, feature, bin), so the number of passes is that of the
 longest trial, not of all together. Sums of map tasks meet per (trial, feature), where the best
 cut of every node is found; the driver gets one row per trial, feature and node, whatever the
-number of rows. Gradients are whole numbers of 2^-20, so a sum does not depend on its order and a
+number of rows. Categories come as dense codes, one column of codes for each categorical column; a cut
+asks whether a row has one code, as an indicator column would. Their sums are kept by (node, code) for
+the codes that occur and meet in blocks of codes, so a vocabulary may have any size. The finished
+model names only the categories that it asks for. Gradients are whole numbers of 2^-20, so a sum does not depend on its order and a
 fit gives the same trees for any partitioning.
 
 Margins are written with the rows every few trees and recomputed from these trees in between: a
@@ -54,13 +57,15 @@ class Params:
 @dataclass
 class Tree:
     """A full binary tree by levels: node i has children 2i+1 and 2i+2. A node without a cut (feature -1)
-    sends every row to the left; ``value`` is of the lowest level, ``cover`` the hessian of every node."""
+    sends every row to the left; ``value`` is of the lowest level, ``cover`` the hessian of every node.
+    Features from ``first_code`` on are codes: rows with the code of the cut go right."""
 
     feature: np.ndarray
     cut: np.ndarray  # rows with a bin up to it go left
     value: np.ndarray
     cover: np.ndarray
     gain: np.ndarray
+    first_code: int = 1 << 30
 
     def leaf_of(self, binned: np.ndarray, levels: int | None = None) -> np.ndarray:
         """Place of every row on a level, from 0."""
@@ -68,8 +73,9 @@ class Tree:
         rows = np.arange(len(binned))
         depth = len(self.value).bit_length() - 1 if levels is None else levels
         for _ in range(depth):
-            f = self.feature[at]
-            at = 2 * at + 1 + ((f >= 0) & (binned[rows, np.maximum(f, 0)] > self.cut[at]))
+            f, cut = self.feature[at], self.cut[at]
+            cell = binned[rows, np.maximum(f, 0)]
+            at = 2 * at + 1 + ((f >= 0) & np.where(f < self.first_code, cell > cut, cell == cut))
         return at - ((1 << depth) - 1)
 
     def margin(self, binned: np.ndarray) -> np.ndarray:
@@ -85,6 +91,22 @@ class BoostedModel:
     trees: list[Tree]
     params: Params
     valid_auc: float = float("nan")
+    #: Features that stand for a category: name -> (column, category).
+    indicators: dict[str, tuple[str, str]] = field(default_factory=dict)
+
+    def columns(self, have: Sequence[str] | None = None) -> dict[str, Column]:
+        """The features of a row: numbers (null as 0) and indicators (null or unknown as 0). With ``have``,
+        columns that are not in it count as 0."""
+        out = {}
+        for name in self.features:
+            source, category = self.indicators.get(name, (name, None))
+            if have is not None and source not in have:
+                out[name] = F.lit(0.0)
+            elif category is None:
+                out[name] = F.coalesce(F.col(f"`{source}`").cast("double"), F.lit(0.0))
+            else:
+                out[name] = F.coalesce((F.col(f"`{source}`").cast("string") == category).cast("double"), F.lit(0.0))
+        return out
 
     def binned(self, x: np.ndarray) -> np.ndarray:
         return binned(x, self.edges)
@@ -104,14 +126,16 @@ class BoostedModel:
         return (gains / gains.sum() if gains.sum() else gains).tolist()
 
     def to_json(self) -> str:
-        trees = [{k: v.tolist() for k, v in t.__dict__.items()} for t in self.trees]
-        return json.dumps({"features": self.features, "edges": [e.tolist() for e in self.edges], "trees": trees, "params": asdict(self.params), "valid_auc": self.valid_auc})
+        trees = [{k: v.tolist() for k, v in t.__dict__.items() if k != "first_code"} for t in self.trees]
+        return json.dumps({"features": self.features, "edges": [e.tolist() for e in self.edges], "trees": trees, "params": asdict(self.params),
+                           "valid_auc": self.valid_auc, "indicators": self.indicators})
 
     @staticmethod
     def from_json(text: str) -> BoostedModel:
         d = json.loads(text)
         trees = [Tree(*[np.array(t[k], kind) for k, kind in (("feature", np.int64), ("cut", np.int64), ("value", float), ("cover", float), ("gain", float))]) for t in d["trees"]]
-        return BoostedModel(d["features"], [np.array(e, float) for e in d["edges"]], trees, Params(**d["params"]), d["valid_auc"])
+        edges = [np.array(e, float) for e in d["edges"]]
+        return BoostedModel(d["features"], edges, trees, Params(**d["params"]), d["valid_auc"], {k: tuple(v) for k, v in d["indicators"].items()})
 
 
 def matrix(features: Sequence[str]) -> Column:
@@ -166,6 +190,13 @@ class Trial:
         rng = np.random.default_rng(self.salt(1))
         return np.sort(rng.choice(n_features, max(1, round(self.params.feature_share * n_features)), replace=False))
 
+    def totals(self, level: int) -> np.ndarray:
+        """Gradient and hessian of the nodes of a level."""
+        out = np.zeros((1 << level, 2))
+        for node, sums in self.sums.items():
+            out[node - ((1 << level) - 1)] = sums
+        return out
+
     def best(self) -> int:
         """Trees through the best validation area."""
         return int(np.argmax(self.areas)) + 1 if self.areas else len(self.trees)
@@ -176,25 +207,54 @@ class _Work:
     """What a pass needs of one trial: trees since margins were written, the tree that grows, its features."""
 
     number: int
+    params: Params
     since: tuple[Tree, ...]
     growing: Tree
     levels: int
     chosen: np.ndarray
     salt: int
-    subsample: float
     measure: bool
+    totals: np.ndarray | None  # of the level's nodes; None: only the root's sums are asked for
+
+
+Sums = dict[tuple[int, int, int], np.ndarray]  # by trial, feature and block of codes
+_AREA, _ROOT = -1, -2  # in place of a feature: label counts by score, sums of the root
+_SUMS_DDL = "trial int, feature int, block int, sums binary"
+_CODE_BITS = 32
+_BLOCK_BITS = 12  # codes of one block
+
+
+def _by_code(node: np.ndarray, code: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Rows key (node and code), gradient, hessian; one column per key that occurs."""
+    key, at = np.unique(node << _CODE_BITS | code, return_inverse=True)
+    return np.stack([key, np.bincount(at, g, len(key)).astype(np.int64), np.bincount(at, h, len(key)).astype(np.int64)])
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    if len(parts) == 1:
+        return parts[0]
+    every = np.concatenate(parts, axis=1)
+    every = every[:, np.argsort(every[0], kind="stable")]
+    first = np.flatnonzero(np.append(True, every[0, 1:] != every[0, :-1])) if every.shape[1] else np.zeros(0, np.int64)
+    return np.stack([every[0, first], *(np.add.reduceat(row, first) for row in every[1:])]) if len(first) else every
 
 
-def _histograms(work: list[_Work], column: dict[int, int], bins: int):
-    """Per map task and (trial, feature): sums by node and bin; feature -1 holds label counts by score."""
+def _histograms(work: list[_Work], column: dict[int, int], n_numeric: int, bins: int):
+    """Per map task and (trial, feature, block): sums by node and bin, or by node and code."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple[int, int], np.ndarray] = {}
+        sums: Sums = {}
+        by_code: dict[tuple[int, int], list[np.ndarray]] = {}
+
+        def add(trial: int, feature: int, part: np.ndarray) -> None:
+            key = (trial, feature, 0)
+            sums[key] = sums[key] + part if key in sums else part
+
         for batch in batches:
             n = len(batch)
             if not n:
                 continue
-            rows = np.frombuffer(b"".join(batch["bins"]), np.uint8).reshape(n, -1)
+            rows = cells(batch["bins"], n_numeric)
             given = np.frombuffer(b"".join(batch["margins"]), "<f4").reshape(n, -1)
             label, weight, train = batch["label"].to_numpy(float), batch["weight"].to_numpy(float), batch["part"].to_numpy() == _TRAIN
             keys = batch["row_key"].to_numpy(np.int64).view(np.uint64)
@@ -205,39 +265,59 @@ def _histograms(work: list[_Work], column: dict[int, int], bins: int):
                 p = 1.0 / (1.0 + np.exp(-margin))
                 if w.measure:
                     score = np.minimum((p * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)[~train]
-                    counts = np.bincount(score * 2 + label[~train].astype(np.int64), minlength=2 * SCORE_BINS).astype(np.int64)
-                    sums[w.number, -1] = sums.get((w.number, -1), 0) + counts
-                used = np.flatnonzero(train & (_mixed(keys, w.salt) < w.subsample))
+                    add(w.number, _AREA, np.bincount(score * 2 + label[~train].astype(np.int64), minlength=2 * SCORE_BINS).astype(np.int64))
+                used = np.flatnonzero(train & (_mixed(keys, w.salt) < w.params.subsample))
                 g = np.rint(weight[used] * (p[used] - label[used]) * _UNIT)
                 h = np.rint(weight[used] * p[used] * (1.0 - p[used]) * _UNIT)
+                if w.totals is None:
+                    add(w.number, _ROOT, np.array([g.sum(), h.sum()]).astype(np.int64))
+                    continue
                 own = rows[used]
                 node = w.growing.leaf_of(own, w.levels) if w.levels else np.zeros(len(used), np.int64)
                 size = (1 << w.levels) * bins
                 for f in w.chosen.tolist():
                     cell = node * bins + own[:, f]
-                    part = np.stack([np.bincount(cell, g, size), np.bincount(cell, h, size)]).astype(np.int64).ravel()
-                    sums[w.number, f] = sums.get((w.number, f), 0) + part
+                    add(w.number, f, np.stack([np.bincount(cell, g, size), np.bincount(cell, h, size)]).astype(np.int64).ravel())
+                for f in range(n_numeric, own.shape[1]):
+                    code = own[:, f].astype(np.int64)
+                    drawn = np.flatnonzero((code >= 0) & (_mixed((code | f << 40).astype(np.uint64), w.salt + 1) < w.params.feature_share))
+                    held = by_code.setdefault((w.number, f), [])
+                    held.append(_by_code(node[drawn], code[drawn], g[drawn], h[drawn]))
+                    if len(held) >= 64:
+                        held[:] = [_merged(held)]
+        for (trial, f), held in by_code.items():
+            whole = _merged(held)
+            block = (whole[0] & ((1 << _CODE_BITS) - 1)) >> _BLOCK_BITS
+            for b in np.unique(block).tolist():
+                sums[trial, f, b] = whole[:, block == b].ravel()
         yield from _sum_rows(sums)
 
     return of
 
 
-def _added(batches: Iterator[pd.DataFrame]) -> dict[tuple[int, int], np.ndarray]:
-    """Sums by (trial, feature) of all partial sums of a task."""
-    total: dict[tuple[int, int], np.ndarray] = {}
+def _added(batches: Iterator[pd.DataFrame], n_numeric: int) -> Sums:
+    """Sums of all partial sums of a task."""
+    total: Sums = {}
+    by_code: dict[tuple[int, int, int], list[np.ndarray]] = {}
     for batch in batches:
-        for trial, feature, raw in zip(batch["trial"].tolist(), batch["feature"].tolist(), batch["sums"], strict=True):
-            own = np.frombuffer(raw, "<i8")
-            if (trial, feature) in total:
-                total[trial, feature] += own
+        for *key, raw in zip(batch["trial"].tolist(), batch["feature"].tolist(), batch["block"].tolist(), batch["sums"], strict=True):
+            key, own = tuple(key), np.frombuffer(raw, "<i8")
+            if key[1] >= n_numeric:
+                held = by_code.setdefault(key, [])
+                held.append(own.reshape(3, -1))
+                if len(held) >= 64:
+                    held[:] = [_merged(held)]
+            elif key in total:
+                total[key] += own
             else:
-                total[trial, feature] = own.copy()
-    return total
+                total[key] = own.copy()
+    return total | {key: _merged(held).ravel() for key, held in by_code.items()}
 
 
-def _sum_rows(sums: dict[tuple[int, int], np.ndarray]) -> Iterator[pd.DataFrame]:
+def _sum_rows(sums: Sums) -> Iterator[pd.DataFrame]:
     if sums:
-        yield pd.DataFrame({"trial": [k[0] for k in sums], "feature": [k[1] for k in sums], "sums": [v.astype("<i8").tobytes() for v in sums.values()]})
+        keys = {c: [k[i] for k in sums] for i, c in enumerate(("trial", "feature", "block"))}
+        yield pd.DataFrame(keys | {"sums": [v.astype("<i8").tobytes() for v in sums.values()]})
 
 
 def _soft(g: np.ndarray, alpha: float) -> np.ndarray:
@@ -247,28 +327,47 @@ def _soft(g: np.ndarray, alpha: float) -> np.ndarray:
 _CUTS = ["trial", "feature", "node", "cut", "gain", "gl", "hl", "g", "h"]
 
 
-def _best_cuts(params: dict[int, Params], bins: int):
-    """Of every (trial, feature): the best cut of every node, or the validation area."""
+def _gains(gl: np.ndarray, hl: np.ndarray, gt: np.ndarray, ht: np.ndarray, p: Params) -> np.ndarray:
+    worth = lambda a, b: _soft(a, p.reg_alpha) ** 2 / (b + p.reg_lambda)
+    gain = worth(gl, hl) + worth(gt - gl, ht - hl) - worth(gt, ht)
+    gain[(hl < p.min_child_weight) | (ht - hl < p.min_child_weight)] = -np.inf
+    return gain
+
+
+def _best_cuts(work: list[_Work], n_numeric: int, bins: int):
+    """Of every (trial, feature, block): the best cut of every node, the validation area or the root's sums."""
+    by_trial = {w.number: w for w in work}
 
     def cuts(trial: int, feature: int, total: np.ndarray) -> np.ndarray:
-        if feature < 0:
-            return np.array([[trial, -1, 0, 0, _area(total.reshape(-1, 2)), 0, 0, 0, 0]])
-        p = params[trial]
-        g, h = total.reshape(2, -1, bins) / _UNIT
-        gl, hl = np.cumsum(g, axis=1), np.cumsum(h, axis=1)
-        gt, ht = gl[:, -1:], hl[:, -1:]
-        worth = lambda a, b: _soft(a, p.reg_alpha) ** 2 / (b + p.reg_lambda)
-        gain = worth(gl, hl) + worth(gt - gl, ht - hl) - worth(gt, ht)
-        gain[(hl < p.min_child_weight) | (ht - hl < p.min_child_weight)] = -np.inf
-        cut = np.argmax(gain, axis=1)
-        at = np.arange(len(cut))
-        out = np.stack([np.full(len(at), trial), np.full(len(at), feature), at, cut, gain[at, cut], gl[at, cut], hl[at, cut], gt[:, 0], ht[:, 0]], axis=1)
-        return out[ht[:, 0] > 0]
+        p = by_trial[trial].params
+        if feature == _AREA:
+            return np.array([[trial, _AREA, 0, 0, _area(total.reshape(-1, 2)), 0, 0, 0, 0]])
+        if feature == _ROOT:
+            return np.array([[trial, _ROOT, 0, 0, 0, 0, 0, *(total / _UNIT)]])
+        if feature < n_numeric:
+            g, h = total.reshape(2, -1, bins) / _UNIT
+            gl, hl = np.cumsum(g, axis=1), np.cumsum(h, axis=1)
+            gt, ht = gl[:, -1:], hl[:, -1:]
+            gain = _gains(gl, hl, gt, ht, p)
+            cut = np.argmax(gain, axis=1)
+            node = np.arange(len(cut))
+            gl, hl, gain, gt, ht = gl[node, cut], hl[node, cut], gain[node, cut], gt[:, 0], ht[:, 0]
+        else:  # rows with the code go right
+            key, g, h = total.reshape(3, -1)
+            node, cut = key >> _CODE_BITS, key & ((1 << _CODE_BITS) - 1)
+            gt, ht = by_trial[trial].totals[node].T
+            gl, hl = gt - g / _UNIT, ht - h / _UNIT
+            gain = _gains(gl, hl, gt, ht, p)
+            best = np.lexsort((cut, -gain, node))
+            best = best[np.append(True, node[best][1:] != node[best][:-1])] if len(best) else best
+            node, cut, gain, gl, hl, gt, ht = (x[best] for x in (node, cut, gain, gl, hl, gt, ht))
+        out = np.stack([np.full(len(node), trial), np.full(len(node), feature), node, cut, gain, gl, hl, gt, ht], axis=1)
+        return out[ht > 0]
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = [cuts(*key, total) for key, total in _added(batches).items()]
+        found = [cuts(trial, feature, total) for (trial, feature, _), total in _added(batches, n_numeric).items()]
         if found:
-            yield pd.DataFrame(np.concatenate(found), columns=_CUTS).astype({c: "int32" for c in _CUTS[:4]})
+            yield pd.DataFrame(np.concatenate(found), columns=_CUTS).astype({c: "int64" for c in _CUTS[:4]})
 
     return best
 
@@ -281,21 +380,23 @@ def _area(counts: np.ndarray) -> float:
     return float((pos * (np.cumsum(neg) - neg / 2)).sum() / (neg.sum() * pos.sum()))
 
 
-def _pass(rows: DataFrame, work: list[_Work], column: dict[int, int], params: dict[int, Params], bins: int, tasks: int) -> pd.DataFrame:
-    ddl = "trial int, feature int, sums binary"
-    sums = rows.mapInPandas(_histograms(work, column, bins), ddl)
+def _pass(rows: DataFrame, work: list[_Work], column: dict[int, int], n_numeric: int, bins: int, tasks: int) -> pd.DataFrame:
+    sums = rows.mapInPandas(_histograms(work, column, n_numeric, bins), _SUMS_DDL)
     while tasks > FAN_IN:  # partial sums of many map tasks meet in groups first
         tasks = math.ceil(tasks / FAN_IN)
-        parts = sums.withColumn("part", F.spark_partition_id() % tasks).repartition("trial", "feature", "part")
-        sums = parts.mapInPandas(lambda batches: _sum_rows(_added(batches)), ddl)
-    cuts = sums.repartition("trial", "feature").mapInPandas(_best_cuts(params, bins), "trial int, feature int, node int, cut int, " + ", ".join(f"{c} double" for c in _CUTS[4:]))
-    return cuts.toPandas()  # trials x features x nodes of a level: no rows of data
+        parts = sums.withColumn("part", F.spark_partition_id() % tasks).repartition("trial", "feature", "block", "part")
+        sums = parts.mapInPandas(lambda batches: _sum_rows(_added(batches, n_numeric)), _SUMS_DDL)
+    ddl = ", ".join(f"{c} {'bigint' if i < 4 else 'double'}" for i, c in enumerate(_CUTS))
+    cuts = sums.repartition("trial", "feature", "block").mapInPandas(_best_cuts(work, n_numeric, bins), ddl)
+    # Of the blocks of one column the best cut of a node is enough: no rows of data, and no row per code.
+    best = F.max_by(F.struct(*_CUTS), F.struct("gain", -F.col("cut")))
+    return cuts.groupBy("trial", "feature", "node").agg(best.alias("c")).select("c.*").toPandas()
 
 
-def _start(trial: Trial) -> Tree:
+def _start(trial: Trial, n_numeric: int) -> Tree:
     d = trial.params.max_depth
     inner = (1 << d) - 1
-    return Tree(np.full(inner, -1, np.int64), np.zeros(inner, np.int64), np.zeros(1 << d), np.zeros(2 * inner + 1), np.zeros(inner))
+    return Tree(np.full(inner, -1, np.int64), np.zeros(inner, np.int64), np.zeros(1 << d), np.zeros(2 * inner + 1), np.zeros(inner), n_numeric)
 
 
 def _grow(trial: Trial, level: int, cuts: pd.DataFrame) -> None:
@@ -303,9 +404,8 @@ def _grow(trial: Trial, level: int, cuts: pd.DataFrame) -> None:
     tree, p = trial.growing, trial.params
     first = (1 << level) - 1
     best = cuts.sort_values(["node", "gain", "feature", "cut"], ascending=[True, False, True, True]).drop_duplicates("node")
-    if level == 0 and len(best):
-        trial.sums = {0: (best["g"].iloc[0], best["h"].iloc[0])}
-        tree.cover[0] = best["h"].iloc[0]
+    if level == 0:
+        tree.cover[0] = trial.sums.get(0, (0.0, 0.0))[1]
     by_node = {int(r.node) + first: r for r in best.itertuples()}
     after: dict[int, tuple[float, float]] = {}
     for node, (g, h) in trial.sums.items():
@@ -326,27 +426,37 @@ def _grow(trial: Trial, level: int, cuts: pd.DataFrame) -> None:
         trial.growing = None
 
 
-def _prepared(rows: DataFrame, features: Sequence[str], edges: list[np.ndarray], n_trials: int, label: str, weight: str, key: str) -> DataFrame:
+def cells(raw: Sequence[bytes], n_numeric: int) -> np.ndarray:
+    """Bins and codes of rows, one whole number each; -1 for no code."""
+    flat = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    codes = np.ascontiguousarray(flat[:, n_numeric:]).view("<i4")
+    return np.concatenate([flat[:, :n_numeric].astype(np.int32), codes], axis=1)
+
+
+def _prepared(rows: DataFrame, features: Sequence[str], edges: list[np.ndarray], codes: Sequence[str], n_trials: int, label: str, weight: str, key: str) -> DataFrame:
     @F.pandas_udf("binary")
-    def as_bins(xs: pd.Series) -> pd.Series:
+    def as_bytes(xs: pd.Series, held: pd.Series) -> pd.Series:
         if not len(xs):
             return pd.Series([], dtype=object)
-        return pd.Series([r.tobytes() for r in binned(np.stack(xs.to_numpy()).reshape(len(xs), len(edges)), edges)], dtype=object)
+        numbers = binned(np.stack(xs.to_numpy()).reshape(len(xs), len(edges)), edges)
+        own = np.stack(held.to_numpy()).reshape(len(xs), len(codes)).astype("<i4")
+        return pd.Series([a.tobytes() + b.tobytes() for a, b in zip(numbers, own, strict=True)], dtype=object)
 
     part = F.when(F.col("split") == "train", _TRAIN).otherwise(_VALID)
     used = rows.where(F.col("split").isin("train", "valid") & F.col(label).isNotNull())
+    held = F.array(*[F.coalesce(F.col(f"`{c}`").cast("int"), F.lit(-1)) for c in codes]).cast("array<int>")
     return used.select(
         F.xxhash64(F.col(key).cast("string")).alias("row_key"), part.alias("part"), F.col(label).cast("int").alias("label"),
-        F.coalesce(F.col(weight).cast("double"), F.lit(1.0)).alias("weight"), as_bins(matrix(features)).alias("bins"),
+        (F.coalesce(F.col(weight).cast("double"), F.lit(1.0)) if weight in rows.columns else F.lit(1.0)).alias("weight"), as_bytes(matrix(features), held).alias("bins"),
         F.lit(bytes(4 * n_trials)).alias("margins"))
 
 
-def _with_margins(rows: DataFrame, since: dict[int, tuple[Tree, ...]], column: dict[int, int]) -> DataFrame:
+def _with_margins(rows: DataFrame, since: dict[int, tuple[Tree, ...]], column: dict[int, int], n_numeric: int) -> DataFrame:
     @F.pandas_udf("binary")
     def added(bins: pd.Series, margins: pd.Series) -> pd.Series:
         if not len(bins):
             return pd.Series([], dtype=object)
-        own = np.frombuffer(b"".join(bins), np.uint8).reshape(len(bins), -1)
+        own = cells(bins, n_numeric)
         total = np.frombuffer(b"".join(margins), "<f4").reshape(len(bins), -1).copy()
         for number, trees in since.items():
             margin = total[:, column[number]].astype(float)
@@ -380,64 +490,86 @@ def _judge(trials: list[Trial], stopping: Stopping) -> None:
             t.active, t.why = False, "patience"
         if n >= t.params.n_trees:
             t.active, t.why = False, t.why or "complete"
+    for t in trials:  # whose areas are not known
+        if t.active and len(t.trees) >= t.params.n_trees:
+            t.active, t.why = False, "complete"
 
 
 def fit_trials(rows: DataFrame, features: Sequence[str], params: Sequence[Params], label: str, weight: str = "weight", key: str = "loan_id",
-               seed: int = 42, bins: int = BINS, stopping: Stopping = Stopping()) -> tuple[list[Trial], list[np.ndarray]]:
+               seed: int = 42, bins: int = BINS, stopping: Stopping = Stopping(), codes: Sequence[str] = ()) -> tuple[list[Trial], list[np.ndarray]]:
     """Grow all trials on the rows of split 'train', measured on 'valid'; returns them with the bin edges.
 
-    Rows with another split or a null label are left out; a null weight counts as 1 and a null feature
-    as 0. Without training rows every tree is empty; without both labels in 'valid' no area is
+    ``features`` are numbers, ``codes`` columns of whole numbers from 0 that name a category, null for none.
+    Rows with another split or a null label are left out; a null or absent weight counts as 1 and a null
+    feature as 0. Without training rows every tree is empty; without both labels in 'valid' no area is
     known and every trial runs to its end. Rows that are equal are drawn alike.
     """
-    features = list(features)
+    features, n_numeric = list(features), len(features)
     edges = bin_edges(rows.where("split = 'train'"), features, bins)
     trials = [Trial(i, p, seed) for i, p in enumerate(params)]
     column = {t.number: t.number for t in trials}
-    table = stage(_prepared(rows, features, edges, len(trials), label, weight, key), "boosting-rows")
+    table = stage(_prepared(rows, features, edges, codes, len(trials), label, weight, key), "boosting-rows")
     tasks = 1 + (table.select(F.spark_partition_id().alias("part")).agg(F.max("part")).first()[0] or 0)
     written = {t.number: 0 for t in trials}
-    every = {t.number: t.params for t in trials}
-    while any(t.active for t in trials):
-        growing = [t for t in trials if t.active]
-        for t in growing:
-            t.growing = _start(t)
-        for level in range(max(t.params.max_depth for t in growing)):
-            now = [t for t in growing if t.growing is not None and level < t.params.max_depth]
-            work = [_Work(t.number, tuple(t.trees[written[t.number] :]), t.growing, level, t.chosen(len(features)), t.salt(0), t.params.subsample, level == 0 and bool(t.trees)) for t in now]
-            cuts = _pass(table, work, column, every, bins, tasks)
-            for t in now:
-                own = cuts[cuts["trial"] == t.number]
-                area = own[own["feature"] < 0]
-                if len(area) and math.isfinite(area["gain"].iloc[0]):
-                    t.areas.append(float(area["gain"].iloc[0]))
-                _grow(t, level, own[own["feature"] >= 0])
-            if level == 0:  # areas of the trees before this one: who stops drops the tree just begun
-                _judge(trials, stopping)
-                for t in growing:
-                    if not t.active:
-                        t.growing = None
-        for t in trials:
-            if t.active and not t.areas and len(t.trees) >= t.params.n_trees:
-                t.active, t.why = False, "complete"
-        due = max((len(t.trees) - written[t.number] for t in trials if t.active), default=0)
-        if due >= TREES_BETWEEN:
-            since = {t.number: tuple(t.trees[written[t.number] :]) for t in trials if t.active}
-            old, table = table, stage(_with_margins(table, since, column), "boosting-rows")
+
+    def run(now: list[Trial], level: int | None) -> pd.DataFrame:
+        work = [_Work(t.number, t.params, tuple(t.trees[written[t.number] :]), t.growing, level or 0, t.chosen(n_numeric), t.salt(0),
+                      level is None and bool(t.trees), None if level is None else t.totals(level)) for t in now]
+        return _pass(table, work, column, n_numeric, bins, tasks)
+
+    while True:
+        now = [t for t in trials if t.active]
+        for t in now:
+            t.growing, t.sums = _start(t, n_numeric), {}
+        found = run(now, None)  # areas of the trees so far; roots of the next ones
+        for r in found.itertuples():
+            t = trials[int(r.trial)]
+            if r.feature == _AREA and math.isfinite(r.gain):
+                t.areas.append(float(r.gain))
+            elif r.feature == _ROOT and r.h > 0:
+                t.sums = {0: (r.g, r.h)}
+        _judge(trials, stopping)
+        now = [t for t in now if t.active]
+        if not now:
+            break
+        for level in range(max(t.params.max_depth for t in now)):
+            deep = [t for t in now if level < t.params.max_depth]
+            cuts = run(deep, level)
+            for t in deep:
+                _grow(t, level, cuts[cuts["trial"] == t.number])
+        if max(len(t.trees) - written[t.number] for t in now) >= TREES_BETWEEN:
+            since = {t.number: tuple(t.trees[written[t.number] :]) for t in now}
+            old, table = table, stage(_with_margins(table, since, column, n_numeric), "boosting-rows")
             release(old)
-            written |= {t.number: len(t.trees) for t in trials if t.active}
+            written |= {t.number: len(t.trees) for t in now}
     release(table)
     return trials, edges
 
 
-def model_of(trial: Trial, features: Sequence[str], edges: list[np.ndarray]) -> BoostedModel:
-    """The trial's trees through its best validation area."""
+def model_of(trial: Trial, features: Sequence[str], edges: list[np.ndarray], codes: Sequence[str] = (), vocabulary: DataFrame | None = None) -> BoostedModel:
+    """The trial's trees through its best validation area. Codes that they ask for become indicator
+    features; their categories are read from ``vocabulary`` (column_name, category, code), at most one a cut."""
     n = trial.best()
-    return BoostedModel(list(features), edges, trial.trees[:n], trial.params, trial.areas[n - 1] if trial.areas else float("nan"))
-
-
-def probability(model: BoostedModel) -> Column:
-    """Probability of label 1 from the model's feature columns, in Arrow batches."""
+    area = trial.areas[n - 1] if trial.areas else float("nan")
+    asked = sorted({(int(f), int(c)) for t in trial.trees[:n] for f, c in zip(t.feature, t.cut, strict=True) if f >= t.first_code})
+    names: dict[tuple[int, int], tuple[str, str]] = {}
+    if asked:
+        rows = vocabulary.where(F.col("code").isin(sorted({c for _, c in asked}))).select("column_name", "category", "code").collect()
+        known = {int(r["code"]): (r["column_name"], r["category"]) for r in rows}
+        names = {key: known[key[1]] for key in asked}
+    place = {key: len(features) + i for i, key in enumerate(asked)}
+    trees = []
+    for t in trial.trees[:n]:
+        feature, cut = t.feature.copy(), t.cut.copy()
+        for i in np.flatnonzero(feature >= t.first_code):
+            feature[i], cut[i] = place[int(t.feature[i]), int(t.cut[i])], 0
+        trees.append(Tree(feature, cut, t.value, t.cover, t.gain))
+    indicators = {f"{column}_{category}": (column, category) for column, category in names.values()}
+    return BoostedModel([*features, *indicators], [*edges, *[np.zeros(1)] * len(asked)], trees, trial.params, area, indicators)
+
+
+def probability(model: BoostedModel, have: Sequence[str] | None = None) -> Column:
+    """Probability of label 1 from the model's columns, in Arrow batches; see ``BoostedModel.columns``."""
 
     @F.pandas_udf("double")
     def scored(xs: pd.Series) -> pd.Series:
@@ -445,4 +577,4 @@ def probability(model: BoostedModel) -> Column:
             return pd.Series([], dtype="float64")
         return pd.Series(1.0 / (1.0 + np.exp(-model.margins(np.stack(xs.to_numpy()).reshape(len(xs), len(model.features))))))
 
-    return scored(matrix(model.features))
+    return scored(F.array(*model.columns(have).values()))

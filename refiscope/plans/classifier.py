@@ -17,7 +17,7 @@ from .. import config as C
 from ..operators import boosting, encode, metrics
 from ..operators.boosting import BoostedModel, Params
 from ..session import constant_table, release, stage
-from .frame import TrainingFrame
+from .frame import SparseFrame, TrainingFrame
 
 
 def random_params(n: int, seed: int = 42, max_trees: int = 500) -> list[Params]:
@@ -70,13 +70,16 @@ TRIAL_DDL = ("trial int, max_depth int, learning_rate double, n_trees int, min_c
              "reg_alpha double, reg_lambda double, grown int, best_trees int, valid_auc double, ended string, chosen boolean")
 
 
-def search(tf: TrainingFrame, trials: Sequence[Params], label: str = C.LABEL, seed: int = 42, stopping: boosting.Stopping = boosting.Stopping()) -> SearchResult:
-    """All trials grown side by side; the one with the best validation ROC area (ties: the earlier) is the model."""
+def search(tf: TrainingFrame | SparseFrame, trials: Sequence[Params], label: str = C.LABEL, seed: int = 42, stopping: boosting.Stopping = boosting.Stopping()) -> SearchResult:
+    """All trials grown side by side; the one with the best validation ROC area (ties: the earlier) is the model.
+    Of a sparse frame the categories are cut by their codes, and the model names those it asks for."""
     if not trials:
         raise ValueError("a search needs at least one trial")
+    sparse = isinstance(tf, SparseFrame)
+    numbers, codes, vocab = (tf.numeric, tf.codes, tf.vocabulary) if sparse else (tf.features, [], None)
     rows = weighted(tf.rows.where("split in ('train', 'valid')"), label, tf.rows)
-    rows = stage(rows.select("loan_id", "split", label, "weight", *[F.col(f"`{c}`") for c in tf.features]), "search-rows")
-    grown, edges = boosting.fit_trials(rows, tf.features, trials, label, seed=seed, stopping=stopping)
+    rows = stage(rows.select("loan_id", "split", label, "weight", *[F.col(f"`{c}`") for c in [*numbers, *codes]]), "search-rows")
+    grown, edges = boosting.fit_trials(rows, numbers, trials, label, seed=seed, stopping=stopping, codes=codes)
     area = lambda t: max(t.areas) if t.areas else float("-inf")
     best = max(grown, key=lambda t: (area(t), -t.number))
     log = []
@@ -85,39 +88,39 @@ def search(tf: TrainingFrame, trials: Sequence[Params], label: str = C.LABEL, se
         log.append((t.number, p.max_depth, float(p.learning_rate), p.n_trees, float(p.min_child_weight), float(p.subsample), float(p.feature_share),
                     float(p.reg_alpha), float(p.reg_lambda), len(t.trees), t.best(), area(t) if t.areas else None, t.why, t is best))
     release(rows)
-    return SearchResult(constant_table(tf.rows.sparkSession, log, TRIAL_DDL), best.params, boosting.model_of(best, tf.features, edges))
+    return SearchResult(constant_table(tf.rows.sparkSession, log, TRIAL_DDL), best.params, boosting.model_of(best, numbers, edges, codes, vocab))
 
 
-def score(model: GBTClassificationModel | BoostedModel, rows: DataFrame, features: Sequence[str], out: str = "pd") -> DataFrame:
-    """Add the positive-class probability; vectors exist only inside the stage."""
+def score(model: GBTClassificationModel | BoostedModel, rows: DataFrame, features: Sequence[str] = (), out: str = "pd") -> DataFrame:
+    """Add the positive-class probability; vectors exist only inside the stage. A boosted model reads the
+    columns that it names, absent ones as 0; ``features`` is for the session's own tree learner."""
     if isinstance(model, BoostedModel):
-        return rows.withColumn(out, boosting.probability(model))
+        return rows.withColumn(out, boosting.probability(model, rows.columns))
     scored = model.transform(vectorized(rows, features))
     return scored.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def evaluate(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame, split: str = "test", label: str = C.LABEL) -> DataFrame:
-    scored = stage(score(model, tf.rows.where(F.col("split") == split), tf.features).select(label, "pd"), "scored")
+def evaluate(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame | SparseFrame, split: str = "test", label: str = C.LABEL) -> DataFrame:
+    features = () if isinstance(tf, SparseFrame) else tf.features
+    scored = stage(score(model, tf.rows.where(F.col("split") == split), features).select(label, "pd"), "scored")
     return metrics.classification_metrics(scored, "pd", label)
 
 
-def importances(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame, k: int = 20) -> DataFrame:
-    values = model.importances() if isinstance(model, BoostedModel) else model.featureImportances.toArray()
-    rows = [(f, float(v)) for f, v in zip(tf.features, values)]
-    table = constant_table(tf.rows.sparkSession, rows, "feature string, importance double")
+def importances(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame | None = None, k: int = 20) -> DataFrame:
+    """The ``k`` features with the largest share in the gain of all cuts."""
+    boosted = isinstance(model, BoostedModel)
+    names, values = (model.features, model.importances()) if boosted else (tf.features, model.featureImportances.toArray())
+    table = constant_table(SparkSession.active(), [(f, float(v)) for f, v in zip(names, values, strict=True)], "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def portfolio_scorer(model: GBTClassificationModel | BoostedModel, tf: TrainingFrame, cats: dict[str, list[str]]):
-    """Scorer for stress runs: encodes metro and categories as in training, then scores."""
+def portfolio_scorer(model: BoostedModel, tf: TrainingFrame | SparseFrame):
+    """Scorer for stress runs: encodes the metro as in training, then scores; the model itself knows which
+    categories it asks for, so no list of them and no join is needed."""
     def scorer(df: DataFrame) -> DataFrame:
         keep = df.columns
         encoded = encode.encode_target(df, "metro_area", tf.metro_means, tf.global_mean, "metro_encoded")
-        encoded = encode.encode_onehot(encoded, cats)
-        for c in tf.features:
-            if c not in encoded.columns:
-                encoded = encoded.withColumn(c, F.lit(0.0))
-        return score(model, encoded, tf.features).select(*keep, "pd")
+        return score(model, encoded).select(*keep, "pd")
 
     return scorer
 

@@ -142,11 +142,54 @@ def labelled_loans(loans: DataFrame, curves: MarketCurves, shocks: bool = True)
     return labelled.withColumn("split", encode.split_of())
 
 
-def assemble_frame(labelled: DataFrame) -> TrainingFrame:
-    """Target-encode the metro, one-hot the categories and select the feature matrix.
+@dataclass(frozen=True)
+class SparseFrame:
+    """The training frame with one code per categorical column in place of one column per category."""
+
+    rows: DataFrame  # loan_id, origination_year, split, label, numbers, categorical columns and their codes
+    numeric: list[str]
+    categories: list[str]
+    codes: list[str]
+    vocabulary: DataFrame
+    metro_means: DataFrame
+    global_mean: DataFrame
 
-    ``labelled`` is read several times and should be staged.
+
+def assemble_sparse(labelled: DataFrame, gate: bool = True) -> SparseFrame:
+    """Target-encode the metro and code the categories, of which any number may exist. ``labelled`` is read
+    several times and should be staged. ``gate``: see ``check_frame``."""
+    means, overall = encode.target_means(labelled, "metro_area", C.LABEL)
+    encoded = encode.encode_target(labelled, "metro_area", means, overall, "metro_encoded")
+    vocab = encode.vocabulary(labelled)
+    numeric, categories = [*C.NUMERIC_FEATURES, "metro_encoded"], list(C.ONEHOT_COLUMNS)
+    keep = ["loan_id", "origination_year", "split", C.LABEL, *categories]
+    coded = encode.with_codes(encoded, vocab)
+    rows = encode.align(coded, numeric, keep=[*keep, *encode.code_columns()])
+    out = SparseFrame(rows, numeric, categories, encode.code_columns(), vocab, means, overall)
+    if gate:
+        check_frame(out)
+    return out
+
+
+def check_frame(frame: SparseFrame) -> DataFrame:
+    """Gate of a training frame: feature names that point at the outcome date and features that follow
+    the label raise ``LeakageError``; empty or one-sided splits warn. Returns the five largest correlations."""
+    encode.check_feature_names(frame.numeric)
+    encode.check_categories(frame.vocabulary)
+    encode.check_splits(frame.rows, C.LABEL)
+    every = encode.sparse_correlations(frame.rows, frame.numeric, frame.codes, frame.vocabulary, C.LABEL)
+    top = every.orderBy(F.desc("abs_corr"), "feature").limit(5)
+    if frame.rows.where("split = 'train'").limit(11).count() > 10:  # fewer rows say nothing
+        encode.check_correlations(top)
+    return top
+
+
+def assemble_frame(labelled: DataFrame, gate: bool = True) -> TrainingFrame:
+    """The frame with one column per category, for tables of few categories; any number of them is for
+    ``assemble_sparse``, whose gate it passes first. ``labelled`` is read several times and should be staged.
     """
+    if gate:
+        assemble_sparse(labelled)
     means, overall = encode.target_means(labelled, "metro_area", C.LABEL)
     encoded = encode.encode_target(labelled, "metro_area", means, overall, "metro_encoded")
     cats = encode.categories(labelled)
