@@ -362,6 +362,28 @@ def quality_gate_loan_features(spark, sf):
     return quality.feature_gate(V.features(spark, sf))
 
 
+def _without(sql: str, *names: str, absent: int, of: int) -> str:
+    """The gate's SQL for a table without the columns of the named rules."""
+    parts = [x for x in sql.split(" UNION ALL ") if not any(f"'{n}'" in x for n in (*names, "SCHEMA"))]
+    skipped = [f"SELECT '{n}', 'SKIPPED', CAST(0 AS BIGINT), 0e0" for n in names]
+    return " UNION ALL ".join([f"SELECT 'SCHEMA' AS check_name, 'FAIL' AS status, CAST({absent} AS BIGINT) AS affected, {round(absent / of, 6)}e0 AS rate", *skipped, *parts])
+
+
+@query("quality_gate_loans_with_missing_columns", sql_with("raw_loans", _without(
+    LOAN_GATE_SQL, "NULL_RATE(maturity_date)", "RANGE(note_rate)", "PROPERTY_TYPE", absent=3, of=len(C.REQUIRED_LOAN_COLUMNS))))
+def quality_gate_loans_with_missing_columns(spark, sf):
+    """The report goes on after missing columns."""
+    return quality.loan_gate(adapter.raw_loans(spark, sf).drop("maturity_date", "note_rate", "property_type"), complete=True)
+
+
+@query("quality_gate_loans_without_rows", sql_with("raw_loans", """
+SELECT 'SCHEMA' AS check_name, 'PASS' AS status, CAST(0 AS BIGINT) AS affected, 0e0 AS rate
+UNION ALL SELECT 'ROW_COUNT', CASE WHEN count(*) = 0 THEN 'FAIL' END, count(*), 0e0 FROM raw_loans WHERE loan_id = 'nobody'
+UNION ALL SELECT unnest(['NULL_RATE(loan_id)', 'NULL_RATE(maturity_date)', 'NULL_RATE(original_balance)', 'DUPLICATES', 'PROPERTY_TYPE']), 'PASS', CAST(0 AS BIGINT), 0e0"""))
+def quality_gate_loans_without_rows(spark, sf):
+    return quality.loan_gate(adapter.raw_loans(spark, sf).where("loan_id = 'nobody'"), complete=True)
+
+
 @query("quality_report_summary", sql_with("raw_loans", f"SELECT status, count(*) AS checks FROM ({LOAN_GATE_SQL}) GROUP BY 1"))
 def quality_report_summary(spark, sf):
     return quality.summary(quality.loan_gate(adapter.raw_loans(spark, sf)))

@@ -44,22 +44,32 @@ def _report(df: DataFrame, measures: dict[str, Column], rows: list[Column]) -> D
     return one.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
 
 
-def _range_measures(ranges: dict[str, tuple[float, float]]) -> dict[str, Column]:
-    out: dict[str, Column] = {}
+Rule = tuple[str, tuple[str, ...], dict[str, Column], Column]  # name, columns it needs, measures, report row
+
+
+def _range_rules(ranges: dict[str, tuple[float, float]]) -> list[Rule]:
+    """A column without values has no row, as there is nothing to judge."""
+    out: list[Rule] = []
     for c, (lo, hi) in ranges.items():
         v = F.col(c).try_cast("double")
-        out[f"seen_{c}"] = F.count(v)
-        out[f"out_{c}"] = _n((v < lo) | (v > hi))
+        bad, seen = F.col(f"out_{c}"), F.col(f"seen_{c}")
+        measures = {f"seen_{c}": F.count(v), f"out_{c}": _n((v < lo) | (v > hi))}
+        out.append((f"RANGE({c})", (c,), measures, F.when(seen > 0, _row(f"RANGE({c})", _status(bad > 0, "WARN"), bad, seen))))
     return out
 
 
-def _range_rows(ranges: dict[str, tuple[float, float]]) -> list[Column]:
-    """A column without values has no row, as there is nothing to judge."""
+def _apply(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One pass for all rules whose columns are there; the others are reported as SKIPPED."""
+    have = set(df.columns)
+    measures: dict[str, Column] = {"n": F.count(F.lit(1))}
     rows = []
-    for c in ranges:
-        bad, seen = F.col(f"out_{c}"), F.col(f"seen_{c}")
-        rows.append(F.when(seen > 0, _row(f"RANGE({c})", _status(bad > 0, "WARN"), bad, seen)))
-    return rows
+    for name, needed, own, row in rules:
+        if have.issuperset(needed):
+            measures |= own
+            rows.append(row)
+        else:
+            rows.append(_row(name, F.lit("SKIPPED"), F.lit(0), F.lit(0)))
+    return _report(df, measures, rows)
 
 
 def _rate_rule(bad: Column, total: Column, limit: float) -> Column:
@@ -89,73 +99,63 @@ def _not_empty(n: Column) -> Column:
     return _row("ROW_COUNT", _status(n == 0, "FAIL"), n, n)
 
 
-def loan_gate(df: DataFrame, max_null_rate: float = 0.05) -> DataFrame:
-    """Row count, schema, null rates, duplicates, ranges and accepted types of raw loans."""
+def loan_gate(df: DataFrame, max_null_rate: float = 0.05, complete: bool = False) -> DataFrame:
+    """Row count, schema, null rates, duplicates, ranges and accepted types of raw loans.
+
+    A missing column fails the schema row. With ``complete`` the report goes on after it: rules of
+    the columns that are there are judged in the same pass, the others are SKIPPED.
+    """
     schema = columns_present(df, C.REQUIRED_LOAN_COLUMNS, "SCHEMA")
-    if any(c not in df.columns for c in C.REQUIRED_LOAN_COLUMNS):
+    if not complete and any(c not in df.columns for c in C.REQUIRED_LOAN_COLUMNS):
         return schema
+    have = set(df.columns)
     accepted = [t for t, *_ in C.PROPERTY_TYPES]
     ptype = F.lower("property_type")
-    named_id = F.when(~is_missing(df, "loan_id"), F.col("loan_id"))
-    measures = {
-        "n": F.count(F.lit(1)),
-        "ids": F.count(named_id),
-        "unique_ids": F.count_distinct(named_id),
-        "odd_type": _n((ptype != "") & ~ptype.isin(*accepted)),
-        **{f"null_{c}": _n(is_missing(df, c)) for c in NULL_CHECKED},
-        **_range_measures(LOAN_RANGES),
-    }
+    missing = lambda c: is_missing(df, c) if c in have else F.lit(None)
+    named_id = F.when(~missing("loan_id"), F.col("loan_id"))
     n, dup = F.col("n"), F.col("ids") - F.col("unique_ids")
-    rows = [
-        _not_empty(n),
-        *[_row(f"NULL_RATE({c})", _rate_rule(F.col(f"null_{c}"), n, max_null_rate), F.col(f"null_{c}"), n) for c in NULL_CHECKED],
-        _row("DUPLICATES", _rate_rule(dup, n, 0.01), dup, n),
-        *_range_rows(LOAN_RANGES),
-        _row("PROPERTY_TYPE", _status(F.col("odd_type") > 0, "WARN"), F.col("odd_type"), n),
-    ]
-    return schema.unionByName(_report(df, measures, rows))
+    rules: list[Rule] = [("ROW_COUNT", (), {}, _not_empty(n))]
+    for c in NULL_CHECKED:
+        bad = F.col(f"null_{c}")
+        rules.append((f"NULL_RATE({c})", (c,), {f"null_{c}": _n(missing(c))}, _row(f"NULL_RATE({c})", _rate_rule(bad, n, max_null_rate), bad, n)))
+    rules.append(("DUPLICATES", ("loan_id",), {"ids": F.count(named_id), "unique_ids": F.count_distinct(named_id)}, _row("DUPLICATES", _rate_rule(dup, n, 0.01), dup, n)))
+    rules += _range_rules(LOAN_RANGES)
+    odd = F.col("odd_type")
+    rules.append(("PROPERTY_TYPE", ("property_type",), {"odd_type": _n((ptype != "") & ~ptype.isin(*accepted))}, _row("PROPERTY_TYPE", _status(odd > 0, "WARN"), odd, n)))
+    return schema.unionByName(_apply(df, rules))
 
 
 def market_gate(df: DataFrame) -> DataFrame:
-    """Row count, expected series, null values, rate range and history of raw market data."""
+    """Row count, expected series, null values, rate range and history of raw market data; rules of
+    absent columns are SKIPPED."""
     is_rate = F.col("data_type").isin("treasury_10y", "treasury_5y", "sofr", "cap_rate")
     value = F.col("value").cast("double")
-    measures = {
-        "n": F.count(F.lit(1)),
-        **{f"n_{t}": _n(F.col("data_type") == t) for t in C.MARKET_TYPES},
-        "nulls": _n(F.col("value").isNull()),
-        "rates": _n(is_rate),
-        "outside": _n(is_rate & ((value < -1.0) | (value > 20.0))),
-    }
+    kinds = {f"n_{t}": _n(F.col("data_type") == t) for t in C.MARKET_TYPES}
     n = F.col("n")
     absent = sum([(F.col(f"n_{t}") == 0).cast("int") for t in C.MARKET_TYPES], F.lit(0))
-    rows = [
-        _not_empty(n),
-        _row("DATA_TYPES", _status(absent > 0, "FAIL"), absent, F.lit(len(C.MARKET_TYPES))),
-        _row("NULL_VALUES", _rate_rule(F.col("nulls"), n, 0.05), F.col("nulls"), n),
-        _row("VALUE_RANGE", _status(F.col("outside") > 0, "WARN"), F.col("outside"), F.col("rates")),
-        _row("HISTORY", _status(F.col("n_treasury_10y") < 12, "WARN"), F.col("n_treasury_10y"), n),
+    history = F.col("n_treasury_10y")
+    rules: list[Rule] = [
+        ("ROW_COUNT", (), {}, _not_empty(n)),
+        ("DATA_TYPES", ("data_type",), kinds, _row("DATA_TYPES", _status(absent > 0, "FAIL"), absent, F.lit(len(C.MARKET_TYPES)))),
+        ("NULL_VALUES", ("value",), {"nulls": _n(F.col("value").isNull())}, _row("NULL_VALUES", _rate_rule(F.col("nulls"), n, 0.05), F.col("nulls"), n)),
+        ("VALUE_RANGE", ("data_type", "value"), {"rates": _n(is_rate), "outside": _n(is_rate & ((value < -1.0) | (value > 20.0)))},
+         _row("VALUE_RANGE", _status(F.col("outside") > 0, "WARN"), F.col("outside"), F.col("rates"))),
+        ("HISTORY", ("data_type",), kinds, _row("HISTORY", _status(history < 12, "WARN"), history, n)),
     ]
-    return _report(df, measures, rows)
+    return _apply(df, rules)
 
 
-def feature_gate(df: DataFrame) -> DataFrame:
-    """Row count, derived columns, derived nulls and ranges of the loan features."""
+def feature_gate(df: DataFrame, complete: bool = False) -> DataFrame:
+    """Row count, derived columns, derived nulls and ranges of the loan features; ``complete`` as in ``loan_gate``."""
     schema = columns_present(df, C.DERIVED_COLUMNS, "FEATURES")
-    if any(c not in df.columns for c in C.DERIVED_COLUMNS):
+    if not complete and any(c not in df.columns for c in C.DERIVED_COLUMNS):
         return schema
-    measures = {
-        "n": F.count(F.lit(1)),
-        **{f"null_{c}": _n(F.col(c).isNull()) for c in FEATURE_NULLS},
-        **_range_measures(FEATURE_RANGES),
-    }
     n = F.col("n")
-    rows = [
-        _not_empty(n),
-        *[_row(f"DERIVED_NULLS({c})", _rate_rule(F.col(f"null_{c}"), n, 0.05), F.col(f"null_{c}"), n) for c in FEATURE_NULLS],
-        *_range_rows(FEATURE_RANGES),
-    ]
-    return schema.unionByName(_report(df, measures, rows))
+    rules: list[Rule] = [("ROW_COUNT", (), {}, _not_empty(n))]
+    for c in FEATURE_NULLS:
+        bad = F.col(f"null_{c}")
+        rules.append((f"DERIVED_NULLS({c})", (c,), {f"null_{c}": _n(F.col(c).isNull())}, _row(f"DERIVED_NULLS({c})", _rate_rule(bad, n, 0.05), bad, n)))
+    return schema.unionByName(_apply(df, rules + _range_rules(FEATURE_RANGES)))
 
 
 def enforce(report: DataFrame, halt: bool = True) -> bool:

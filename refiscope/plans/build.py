@@ -29,7 +29,7 @@ def build_silver(
     spark = bronze_loans.sparkSession
     raw = stage(bronze_market, "bronze-market")
     statuses = {
-        "bronze_loan_quality": quality.enforce(quality.loan_gate(bronze_loans), halt),
+        "bronze_loan_quality": quality.enforce(quality.loan_gate(bronze_loans, complete=True), halt),
         "bronze_market_quality": quality.enforce(quality.market_gate(raw), halt),
     }
     paths = {n: f"{folder}/{n}" for n in ("loans", "market_rates", "loan_features")}
@@ -37,7 +37,7 @@ def build_silver(
     write_table(market.standardize(raw, stamp), paths["market_rates"], "data_type")
     current = feat.current_market(read_table(spark, paths["market_rates"]))
     write_table(feat.loan_features(read_table(spark, paths["loans"]), current, stamp), paths["loan_features"], "origination_year")
-    statuses["silver_features_quality"] = quality.enforce(quality.feature_gate(read_table(spark, paths["loan_features"])), halt)
+    statuses["silver_features_quality"] = quality.enforce(quality.feature_gate(read_table(spark, paths["loan_features"]), complete=True), halt)
     status_rows = [f"SELECT '{k}' AS item, '{'PASS' if ok else 'FAIL'}' AS status, CAST(NULL AS BIGINT) AS n" for k, ok in statuses.items()]
     counts = _counts(spark, paths).select(F.concat("table_name", F.lit("_count")).alias("item"), F.lit("OK").alias("status"), "n")
     return counts.unionByName(spark.sql(" UNION ALL ".join(status_rows)))

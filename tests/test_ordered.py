@@ -3,7 +3,9 @@ import statistics
 
 from pyspark.sql import functions as F
 
+from refiscope.operators import ordered
 from refiscope.operators.ordered import exact_median, first_per_key, running_totals, top_per_group
+from refiscope.session import stage
 
 
 def test_running_totals_match_brute_force_with_a_hot_key_and_a_hot_value(spark):
@@ -23,6 +25,23 @@ def test_running_totals_match_brute_force_with_a_hot_key_and_a_hot_value(spark):
     assert len(got) == len({(r[0], r[1]) for r in rows})
 
 
+def test_ranges_are_even_for_keys_of_very_different_scales(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS", 500)
+    rng = random.Random(1)
+    rows = [("small", rng.random() * 1e-9, 1) for _ in range(4000)] + [("large", rng.random() * 1e12, 1) for _ in range(4000)] + [(f"k{i}", 5.0, 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, v double, w long")
+    dealt, parts = ordered._dealt(stage(df, "t"), ["k"], "v", 1)
+    sizes = {(r["k"], r["_range"]): r["count"] for r in dealt.groupBy("k", "_range").count().collect()}
+    per_range = [sum(n for (_, p), n in sizes.items() if p == q) for q in range(parts)]
+    assert parts == 17 and max(per_range) < 3 * 500  # every task is bounded, whatever the key
+    assert all(sum(k == key for k, _ in sizes) >= 5 for key in ("small", "large"))
+    monkeypatch.setattr(ordered, "SCANNED", 3)  # totals of ranges are scanned in ranges themselves
+    got = {(r.k, r.v): (r.w_cum, r.w_all) for r in running_totals(df, "v", {"w": F.col("w")}, ["k"]).collect()}
+    for key in ("small", "large", "k7"):
+        values = sorted(v for k, v, _ in rows if k == key)
+        assert [got[key, v] for v in values] == [(i + 1, len(values)) for i in range(len(values))]
+
+
 def test_running_totals_keep_null_keys(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 1.0)], "k string, v double")
     got = sorted((r.k or "", r.v, r.n_cum, r.n_all) for r in running_totals(df, "v", {"n": F.lit(1)}, ["k"]).collect())
