@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import explain, metrics
 from ..plans import frame, stress, survival
-from ..session import stage
+from ..session import scratch_path, stage
 from ..sources import adapter
 from ..sources.tables import load_portfolio
 from . import scorecard
@@ -131,6 +131,25 @@ FROM (SELECT scenario_name, count(*) AS total_loans, round(count(*) FILTER (stre
 JOIN {_worst_sql('metro_area')} m ON m.sn = s.scenario_name JOIN {_worst_sql('property_type')} t ON t.sn = s.scenario_name"""
 
 
+@query("stress_results_of_committed_runs", sql_with("results", """
+SELECT scenario_name, CASE WHEN scenario_name = 'combined_severe' THEN 2 ELSE 1 END AS run_number, count(*) AS n_loans, round(avg(stressed_pd), 6) AS avg_pd, round(sum(current_balance), 2) AS upb
+FROM results GROUP BY 1"""))
+def stress_results_of_committed_runs(spark, sf):
+    """Scenarios of a landed file: all are run with one of them wrong, then that one is run again."""
+    root = scratch_path(spark, "scenarios")
+    right = stress.scenario_table(spark)
+    wrong = right.withColumn("noi_shock_pct", F.when(F.col("scenario_name") == "combined_severe", -0.9).otherwise(F.col("noi_shock_pct")))
+    wrong.write.json(f"{root}/wrong")
+    right.write.json(f"{root}/right")
+    rows = stage(portfolio(spark, sf), "portfolio")
+    stress.run_and_commit(rows, stress.read_scenarios(spark, f"{root}/wrong"), scorecard.score, f"{root}/results")
+    stress.run_and_commit(rows, stress.read_scenarios(spark, f"{root}/right"), scorecard.score, f"{root}/results", ["combined_severe"])
+    runs = stress.latest_runs(spark, f"{root}/results").select("scenario_name", F.col("number").cast("int").alias("run_number"))
+    per = stress.read_committed(spark, f"{root}/results").groupBy("scenario_name").agg(
+        F.count(F.lit(1)).alias("n_loans"), F.avg("stressed_pd").alias("avg_pd"), F.round(F.sum("current_balance"), 2).alias("upb"))
+    return rounded(per.join(runs, "scenario_name"))
+
+
 @query("stress_summary", sql_with("results", SUMMARY_SQL))
 def stress_summary(spark, sf):
     return stress.summarize(stage(results(spark, sf), "stress-results"))

@@ -249,9 +249,9 @@ def _streamed(spark, sf):
     snaps.write.parquet(f"{root}/landed")
     schema = spark.read.parquet(f"{root}/landed").schema
     now = V.now(spark, sf)
-    for _ in range(2):  # the second run finds no new files and must not change anything
-        stream.append_snapshots(spark, f"{root}/landed", schema, now, f"{root}/history", f"{root}/checkpoint")
-    return T.read_table(spark, f"{root}/history")
+    for checkpoint in ("first", "first", "lost"):  # later runs find no new files, also without a checkpoint
+        stream.append_snapshots(spark, f"{root}/landed", schema, now, f"{root}/history", f"{root}/checkpoint-{checkpoint}")
+    return stream.read_history(spark, f"{root}/history")
 
 
 @query("streamed_snapshot_history", sql_with("snap_features", HISTORY_SQL))
@@ -267,6 +267,24 @@ def latest_state_from_streamed_history(spark, sf):
     return out.select("loan_id", "snapshot_at", "distress_tier")
 
 
+@query("history_manifest", sql_with("snap_features", """
+SELECT TRUE AS all_files_named, TRUE AS one_row_a_file, count(*) AS n_rows FROM snap_features"""))
+def history_manifest(spark, sf):
+    """Every landed file stands in the manifest once, and the committed rows are those of the files."""
+    root = scratch_path(spark, "manifest")
+    snaps = silver.add_time_to_maturity(adapter.loan_snapshots(spark, sf), adapter.REFERENCE_DATE)
+    snaps.write.parquet(f"{root}/landed")
+    landed = spark.read.parquet(f"{root}/landed")
+    for checkpoint in ("first", "lost"):
+        stream.append_snapshots(spark, f"{root}/landed", landed.schema, V.now(spark, sf), f"{root}/history", f"{root}/{checkpoint}")
+    files = landed.select(F.col("_metadata.file_name").alias("file")).distinct()
+    named = stream.read_manifest(spark, f"{root}/history")
+    both = files.join(named.groupBy("file").agg(F.count(F.lit(1)).alias("n")), "file", "full")
+    counted = stream.read_history(spark, f"{root}/history").agg(F.count(F.lit(1)).alias("n_rows"))
+    facts = both.agg(F.min(F.col("n").isNotNull()).alias("all_files_named"), (F.max("n") == 1).alias("one_row_a_file"))
+    return facts.crossJoin(F.broadcast(counted))  # one-row sides
+
+
 # --- end to end -------------------------------------------------------------------
 
 
