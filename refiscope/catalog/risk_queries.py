@@ -268,6 +268,19 @@ def cox_regression_coefficients(spark, sf):
     return survival.coefficients_table(spark, fitted_survival(spark, sf)[1])
 
 
+@query("cox_fit_facts", sql_with("surv", """
+SELECT count(*) AS n_rows, CAST(sum(ev) AS BIGINT) AS n_events, TRUE AS score_is_zero, TRUE AS ratios_are_positive FROM surv
+WHERE CAST(origination_year AS INTEGER) <= 2018"""))
+def cox_fit_facts(spark, sf):
+    """What holds of the fit on the train rows: at the coefficients the penalised score is zero."""
+    rows, model = fitted_survival(spark, sf)
+    train = rows.where("split = 'train'")
+    largest = survival.penalised_score(train, model)
+    table = survival.coefficients_table(spark, model).agg(F.min(F.col("hazard_ratio") > 0).alias("ratios_are_positive"))
+    counted = train.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_observed").cast("bigint").alias("n_events"))
+    return counted.withColumn("score_is_zero", F.lit(largest < 1e-3)).crossJoin(F.broadcast(table))  # one-row sides
+
+
 @query("cox_fitted_predictions")
 def cox_fitted_predictions(spark, sf):
     rows, model = fitted_survival(spark, sf)

@@ -76,6 +76,7 @@ def _rate_rule(bad: Column, total: Column, limit: float) -> Column:
     return F.when(bad > total * limit, "FAIL").when(bad > 0, "WARN").otherwise("PASS")
 
 
+# Bounds, checked columns and limits of the gates.
 LOAN_RANGES = {
     "ltv_at_origination": (0.0, 2.0), "dscr_at_origination": (0.0, 10.0), "note_rate": (0.0, 0.20),
     "occupancy_pct": (0.0, 1.0), "original_balance": (0.0, 1e10),
