@@ -10,7 +10,7 @@ from ..functions import noise
 from ..operators import asof, encode, explain, metrics, quality
 from ..operators.ordered import top_per_group
 from ..plans import frame
-from ..session import stage
+from ..session import constant_table, stage
 from ..sources import adapter
 from . import scorecard
 from . import views as V
@@ -251,6 +251,18 @@ _INDICATORS = [(c, v) for c, values in (("property_type", ("hotel", "industrial"
                                         ("amortization_type", ("amortizing", "interest_only")), ("balloon_flag", ("false", "true"))) for v in values]
 
 
+_KEPT = ["loan_id", "distress_at_maturity", *C.NUMERIC_FEATURES]
+
+
+@query("leaking_column_names", sql_with("labelled", f"""
+SELECT column_name, {" OR ".join(f"contains(column_name, '{p}')" for p in C.LEAKAGE_PATTERNS)} AS leaking FROM (DESCRIBE SELECT {", ".join(_KEPT)} FROM labelled)"""))
+def leaking_column_names(spark, sf):
+    """Columns of the labelled loans and whether their name points at the outcome date."""
+    columns = labelled(spark, sf).select(*_KEPT).columns
+    bad = encode.leaking_names(columns)
+    return constant_table(spark, [(c, c in bad) for c in columns], "column_name string, leaking boolean")
+
+
 @query("leakage_gate_correlations", sql_with("labelled", "SELECT feature, round(c, 6) AS abs_corr FROM (" + " UNION ALL ".join([
     *[f"SELECT '{c}' AS feature, abs(corr({c}, distress_at_maturity)) AS c FROM labelled WHERE split = 'train'" for c in C.NUMERIC_FEATURES],
     *[f"SELECT '{c}_{v}', abs(corr(CAST(CAST({c} AS VARCHAR) = '{v}' AS INTEGER), distress_at_maturity)) FROM labelled WHERE split = 'train'" for c, v in _INDICATORS]]) +

@@ -61,7 +61,9 @@ def table_row_count(spark, sf):
     return T.row_count(spark, path)
 
 
-@query("table_schema_listing")
+@query("table_schema_listing", sql_with("loans", f"""
+SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE SELECT {LOAN_COLS} FROM loans)"""))
 def table_schema_listing(spark, sf):
     path = scratch_path(spark, "schema")
     T.write_table(_loans(spark, sf), path, "origination_year")

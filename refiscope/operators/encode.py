@@ -174,9 +174,14 @@ def constant_columns(frame: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for i, c in enumerate(columns) if row[f"lo_{i}"] == row[f"hi_{i}"]]
 
 
+def leaking_names(columns: Sequence[str]) -> list[str]:
+    """Names that point at the outcome date."""
+    return [c for c in columns if any(p in c for p in C.LEAKAGE_PATTERNS)]
+
+
 def check_feature_names(columns: Sequence[str]) -> None:
     """Feature names must not point at the outcome date."""
-    leaking = [c for c in columns if any(p in c for p in C.LEAKAGE_PATTERNS)]
+    leaking = leaking_names(columns)
     if leaking:
         raise LeakageError(f"feature names refer to maturity: {leaking}")
 
