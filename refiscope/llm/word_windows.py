@@ -2,7 +2,7 @@
 
 Every window of ``window`` words has a rolling fingerprint. So that not each of them travels, the
 windows of a text are first put in runs: each window is named by the least fingerprint of its
-``window // 4`` word stretches (its anchor), and neighbours that share the anchor's place form one run.
+stretches of five words (its anchor), and neighbours that share the anchor's place form one run.
 Equal windows have equal anchors at equal places, so all counting is within an anchor, and an anchor
 that one run only has holds no repeat. The fingerprints are counted twice:
 
@@ -39,7 +39,8 @@ _LENGTH_BITS = 20
 
 
 def _anchor_words(window: int) -> int:
-    return max(1, window // 4)
+    """Words of an anchor: the fewer, the longer the runs; five tell most places apart."""
+    return max(1, min(5, window // 4))
 
 
 def runs_of(values: np.ndarray, window: int = WINDOW) -> list[tuple[np.ndarray, ...]]:
