@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .base import keyed
 
-#: A number or a word; the first one of a sentence keeps the end of the sentence before it.
-TOKEN = r"(?:[.!?:\n][^\p{L}\p{N}]*)?(?:[0-9]+(?:[.,][0-9]+)*|\p{L}[\p{L}\p{M}]*)"
+#: A number or a word; the first one of a sentence keeps the end of the sentence before it. No part can
+#: give back what the next one needs, so none keeps places to return to.
+TOKEN = r"(?:[.!?:\n][^\p{L}\p{N}]*+)?+(?:[0-9]++(?:[.,][0-9]++)*+|\p{L}[\p{L}\p{M}]*+)"
 # Words read as numbers and as units.
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
                 "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half third quarter dozen").split()
@@ -31,7 +32,7 @@ def tokens(text: Column) -> Column:
 
 
 def _opens(token: Column) -> Column:
-    return F.substring(token, 1, 1).isin(".", "!", "?", ":", "\n")
+    return F.ascii(token).isin(*map(ord, ".!?:\n"))
 
 
 def word(token: Column) -> Column:
@@ -44,7 +45,7 @@ def placeholder(token: Column, low: Column) -> Column:
     within a sentence; words all in capitals are no names, so a text in capitals matches as well."""
     name = (low != token) & ~_opens(token) & (F.upper(token) != token)
     return (
-        F.when(F.substring(low, 1, 1).between("0", "9"), NUMBER)
+        F.when(F.ascii(low).between(ord("0"), ord("9")), NUMBER)
         .when(name, NAME).when(low.isin(NUMBER_WORDS), NUMBER).when(low.isin(UNITS), UNIT).otherwise(low)
     )
 
@@ -110,9 +111,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, share: float
     own = own.select("k1", "k2", F.zip_with("raw", "low", lambda t, low: F.xxhash64(placeholder(t, low))).alias("hashes"), F.transform("low", lambda t: F.xxhash64(t)).alias("literal"))
     found = None
     for w in widths:
-        both = F.arrays_zip(_windows(F.col("hashes"), w).alias("a"), _windows(F.col("literal"), w).alias("b"))
-        one = own.select("k1", "k2", F.posexplode(both).alias("dpos", "w"))
-        one = one.select("k1", "k2", "dpos", F.explode(F.array_distinct(F.array("w.a", "w.b"))).alias("window"))
+        # Both kinds of windows in one array: a place is found modulo their number.
+        both = F.posexplode(F.concat(_windows(F.col("hashes"), w), _windows(F.col("literal"), w)))
+        one = own.select("k1", "k2", (F.size("hashes") - w + 1).alias("n"), both.alias("dpos", "window")).withColumn("dpos", F.col("dpos") % F.col("n"))
         one = one.join(known.where(F.col("width") == w).select("window"), "window", "left_semi")
         one = one.select("k1", "k2", "window", F.lit(w).alias("width"), (F.col("dpos") + 1).alias("dpos"))
         found = one if found is None else found.unionByName(one)
