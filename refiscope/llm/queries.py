@@ -131,6 +131,7 @@ _PLACES = {
     for p in licences.PHRASES
 }
 _SETS = licences.template_tokens(licences.TEMPLATES)
+_REACHES = [licences.reach(t) for _, t in licences.TEMPLATES]
 _BASE = "list_filter([" + ", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(licences.PHRASES.values())) + "], lambda x: x IS NOT NULL)"
 SQL["op9_license_scans"] = f"""
 WITH own AS (
@@ -140,11 +141,17 @@ WITH own AS (
 ), placed AS (
     SELECT k, doc_id, len(w) AS n_words, {", ".join(f"{sql} AS p{i}" for i, sql in enumerate(_PLACES.values()))} FROM cut
 ), templates AS (
-    SELECT * FROM (VALUES {", ".join(f"('{label}', {tokens!r})" for label, tokens in _SETS)}) AS v(label, tokens)
+    SELECT * FROM (VALUES {", ".join(f"('{label}', {tokens!r}, {n})" for (label, tokens), n in zip(_SETS, _REACHES, strict=True))}) AS v(label, tokens, reach)
+), paragraphs AS (
+    SELECT k, list_filter(list_transform(string_split(par, chr(10)), lambda x: regexp_extract_all(x, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')), lambda x: len(x) > 0) AS l
+    FROM (SELECT k, unnest(regexp_split_to_array(t, '\n[ \t\r]*\n')) AS par FROM cut)
 ), lines AS (
-    SELECT k, regexp_extract_all(unnest(string_split(t, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM cut
+    SELECT k, 0 AS side, unnest(l) AS w FROM paragraphs
+    UNION ALL
+    SELECT k, s, flatten(l[greatest(1, i - s + 1):i])[-s:] || flatten(l[i + 1:i + s])[:s]
+    FROM (SELECT k, l, unnest(range(1, len(l))) AS i FROM paragraphs), (SELECT DISTINCT reach AS s FROM templates)
 ), shared AS (
-    SELECT k, label, len(list_intersect(tokens, w)) AS both_, len(tokens) AS size_ FROM lines, templates
+    SELECT k, label, len(list_intersect(tokens, w)) AS both_, len(tokens) AS size_ FROM lines, templates WHERE side IN (0, reach)
 ), found AS (
     SELECT k, list(DISTINCT label) AS more, max(both_ / size_) AS best FROM shared WHERE both_ >= ceil(0.8 * size_ - 1e-9) GROUP BY k
 )

@@ -1,6 +1,7 @@
 """URL filters, license scans and decontamination."""
 
 import random
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -50,12 +51,31 @@ def test_license_edges(spark):
     assert got[(1, 0)].n_base == 0 and got[(2, 0)].labels == "" and got[(2, 0)].first_word is None and got[(2, 0)].score == 0
     three = got[(3, 4)]
     assert (three.n_base, three.first_word, three.last_word, three.base_labels, three.score) == (2, 0, 2, "mit", 1.0)
-    assert got[(4, 7)].labels == "" and got[(5, 8)].labels == "cc-by-nc" and got[(5, 8)].base_labels == ""
+    assert got[(4, 7)].labels == "cc-by-nc" and got[(5, 8)].labels == "cc-by-nc" and got[(5, 8)].base_labels == ""
     assert got[(None, 3)].n_base == 0 and got[(6, 3)].n_base == 0
     assert got[(7, 30_002)].first_word == 30_000
     assert licences.scan(docs.limit(0)).count() == 0
 
 
+def test_licenses_wrapped_over_lines(spark):
+    texts = [t for label, t in licences.TEMPLATES if len(t) > 90]
+    other = "Words of another kind that stand before and after it, "
+    rows, want = [], []
+    for label, whole in licences.TEMPLATES:
+        for width in (24, 40, 72):
+            for lead, comment in (("", ""), (other * 3, "# "), (other + "\n", " * ")):
+                rows.append((len(rows), "\n".join(comment + x for x in textwrap.wrap(lead + whole + ". " + other, width))))
+                want.append(label)
+    blank = [(1000 + i, "\n \n".join(textwrap.wrap(t, len(t) // 2 + 8))) for i, t in enumerate(texts)]  # paragraphs of their own
+    far = [(2000, "Released\n" + "word " * 40 + "\nunder the MIT " + "word " * 40 + "\nLicense")]
+    many = [(3000, "a\n" * 20_000 + texts[0].replace(" ", "\n") + "\n" + "b\n" * 20_000)]  # a word a line
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows + blank + far + many, DOCS)).collect()}
+    for (i, t), label in zip(rows, want, strict=True):
+        assert label in got[i].labels.split(","), (label, t)
+    assert all(got[i].labels == got[i].base_labels for i, _ in blank + far)  # phrases may stand in one part
+    assert got[3000].labels == "mit" and got[3000].n_words == 40_000 + len(texts[0].split())
+
+
 ITEM = "When Anna drives 30 km in two hours and Anna rests for 10 minutes, how far does the car go before the evening comes?"
 
 
