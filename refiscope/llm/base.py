@@ -17,6 +17,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text (null as empty) and k1, k2, which name a row by id and text.
 

@@ -5,6 +5,8 @@ scored by the running text in it. Containers are named by generalised paths: tag
 classes, digits replaced, the last eight steps. Spark sums the pages' votes per host and path.
 Second pass: pages are read again and the blocks under the host's winning path are kept, extended
 to the article or main around it; a page without that path falls back on its own best container.
+A page's only h1 that stands outside of them is its headline and is kept, also in a page header, unless
+over half of a host's pages (of three at least) have the same one: then it is the site's name.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .base import fresh
 from .url_filter import url_host
 
 STEPS = 8
@@ -29,7 +32,7 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _DIGITS = re.compile(r"\d+")
 _NAME_PARTS = re.compile(r"[^a-z]+")
 # HTML elements by their role.
-_RAW = {"script", "style", "title", "noscript", "template", "textarea", "iframe", "svg", "math", "select", "object"}
+_RAW = {"script", "style", "title", "noscript", "template", "textarea", "iframe", "svg", "select", "annotation", "annotation-xml"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _CONTAINERS = {"body", "main", "article", "section", "div", "td", "blockquote", "center", "aside", "nav", "header", "footer", "form"}
 _BLOCKS = _CONTAINERS | {"html", "head", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "tr", "th", "tbody", "thead",
@@ -57,6 +60,8 @@ class Node:
 class Page:
     nodes: list[Node] = field(default_factory=lambda: [Node(-1, "", False)])
     blocks: list[tuple[int, bool, str]] = field(default_factory=list)  # container, aside, text
+    headline: str | None = None  # text of the only h1, if it may be the article's
+    head_blocks: set[int] = field(default_factory=set)  # numbers of the blocks in a h1
 
 
 @dataclass
@@ -66,6 +71,7 @@ class Mark:
     parent: int
     weak: bool = False
     heads: bool = False  # holds a h1, article or main
+    header: bool = False  # a page header that nothing else marks
     text: float = 0.0
 
 
@@ -90,21 +96,22 @@ def _attributes(raw: str) -> tuple[str, bool, bool]:
 def read_page(html: str) -> Page:
     """Blocks in page order. Tags may be left open, closed twice or cut off at the end."""
     page = Page()
-    stack: list[tuple[str, int, int, str]] = []  # tag, container, mark (0 for none), step of the path
+    stack: list[tuple[str, int, int, str, int]] = []  # tag, container, mark (0 for none), step of the path, number of the h1 (0 for none)
     marks = [Mark(0)]
     marked_nodes = [0]
-    found_blocks: list[tuple[int, int, str, float]] = []  # container, mark, text, weight
+    found_blocks: list[tuple[int, int, str, float, int]] = []  # container, mark, text, weight, h1
     texts: list[str] = []
     linked = 0
     links = 0
+    heads = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(unescape("".join(texts)).split())
         texts.clear()
         if text:
-            node, mark = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
-            found_blocks.append((node, mark, text, float(max(0, len(text) - 2 * linked))))
+            node, mark, head = (stack[-1][1], stack[-1][2], stack[-1][4]) if stack else (0, 0, 0)
+            found_blocks.append((node, mark, text, float(max(0, len(text) - 2 * linked)), head))
         linked = 0
 
     at, n = 0, len(html)
@@ -158,13 +165,16 @@ def read_page(html: str) -> Page:
                     break
         elif name == "body":
             stack = [s for s in stack if s[0] == "html"]
-        node, mark = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
+        node, mark, head = (stack[-1][1], stack[-1][2], stack[-1][4]) if stack else (0, 0, 0)
+        if name == "h1":
+            heads += 1
+            head = heads
         classes, named, weak = _attributes(raw) if raw else ("", False, True)
         step = name + classes
         if name not in ("html", "body", "article", "main"):
             role = name in _ASIDE_TAGS or name == "header" and not any(s[0] in ("article", "main") for s in stack)
             if named or role:
-                marks.append(Mark(mark, weak and not role and name in _WRAPPERS))
+                marks.append(Mark(mark, weak and not role and name in _WRAPPERS, header=name == "header" and not named))
                 mark = len(marks) - 1
         if name in ("h1", "article", "main"):
             up = mark
@@ -176,37 +186,46 @@ def read_page(html: str) -> Page:
             page.nodes.append(Node(node, "/".join([*steps, step]), False, tag=name))
             marked_nodes.append(mark)
             node = len(page.nodes) - 1
-        stack.append((name, node, mark, step))
+        stack.append((name, node, mark, step, head))
     flush()
     _settle(page, marks, marked_nodes, found_blocks)
     return page
 
 
-def _settle(page: Page, marks: list[Mark], marked_nodes: list[int], blocks: list[tuple[int, int, str, float]]) -> None:
+def _settle(page: Page, marks: list[Mark], marked_nodes: list[int], blocks: list[tuple[int, int, str, float, int]]) -> None:
     """Decides which marks hold and scores the containers. A weak mark is lifted if its wrapper holds
     most of the running text that isn't surely aside: over half with a heading in it, else nine tenths."""
     sure = [False] * len(marks)
     for i, m in enumerate(marks[1:], 1):
         sure[i] = sure[m.parent] or not m.weak
-    for _, mark, _, weight in blocks:
+    for _, mark, _, weight, _ in blocks:
         if not sure[mark]:
             marks[mark].text += weight
     for m in reversed(marks[1:]):
         marks[m.parent].text += m.text
     total = marks[0].text
     aside = [False] * len(marks)
+    beyond = [False] * len(marks)  # aside by more than a page header
     for i, m in enumerate(marks[1:], 1):
-        aside[i] = aside[m.parent] or not (m.weak and m.text > total * (0.5 if m.heads else 0.9))
+        lifted = m.weak and m.text > total * (0.5 if m.heads else 0.9)
+        aside[i] = aside[m.parent] or not lifted
+        beyond[i] = beyond[m.parent] or not (lifted or m.header)
     for node, mark in zip(page.nodes, marked_nodes, strict=True):
         node.aside = aside[mark]
     whole = [0.0] * len(page.nodes)
-    for node, mark, text, weight in blocks:
+    titles: dict[int, list[str]] = {}
+    for node, mark, text, weight, head in blocks:
+        if head and not beyond[mark]:
+            page.head_blocks.add(len(page.blocks))
+            titles.setdefault(head, []).append(text)
         page.blocks.append((node, aside[mark], text))
         if not aside[mark]:
             whole[node] += weight
             while node >= 0 and weight >= 1:
                 page.nodes[node].score += weight
                 node, weight = page.nodes[node].parent, weight / 2
+    if len(titles) == 1:
+        page.headline = "\n".join(*titles.values())
     # A container whose text is dealt over parts of different paths stands for all of it.
     largest: dict[int, dict[str, float]] = {}
     for i in range(len(page.nodes) - 1, 0, -1):
@@ -229,21 +248,23 @@ def votes(page: Page) -> list[tuple[str, float]]:
     return list(by_path.items())
 
 
-def extract(page: Page, winner: str | None) -> str:
-    """Blocks under the winning path, else under the page's best container, else all that isn't aside."""
+def extract(page: Page, winner: str | None, site: str | None = None) -> str:
+    """Blocks under the winning path, else under the page's best container, else all that isn't aside.
+
+    The page's headline leads them where they hold no h1, unless it is ``site``, the site's name.
+    """
     top = [i for i, node in enumerate(page.nodes) if i and not node.aside and node.path == winner]
     if not top:
         top = [max(range(len(page.nodes)), key=lambda i: (page.nodes[i].score, i))]
-    return _text_under(page, _extended(page, top))
-
-
-def _text_under(page: Page, top: list[int]) -> str:
     inside = [False] * len(page.nodes)
     for i in _extended(page, top):
         inside[i] = True
     for i, node in enumerate(page.nodes[1:], 1):
         inside[i] = inside[i] or inside[node.parent]
-    return "\n".join(text for node, aside, text in page.blocks if inside[node] and not aside)
+    kept = {i for i, (node, aside, _) in enumerate(page.blocks) if inside[node] and not aside}
+    if kept and page.headline not in (None, site) and kept.isdisjoint(page.head_blocks):
+        kept |= page.head_blocks
+    return "\n".join(page.blocks[i][2] for i in sorted(kept))
 
 
 def _extended(page: Page, top: list[int]) -> set[int]:
@@ -270,21 +291,32 @@ def _extended(page: Page, top: list[int]) -> set[int]:
 
 
 def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host, path, votes, pages: the votes of all pages, summed per host and path."""
+    """host, path, headline, votes, pages: the votes of all pages, summed per host and path; and, without
+    a path, the number of the host's pages with each headline (null for none)."""
 
-    @F.pandas_udf("array<struct<path:string,share:double>>")
+    @F.pandas_udf("array<struct<path:string,headline:string,share:double>>")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([[{"path": p, "share": s} for p, s in votes(read_page(h or ""))] for h in batch])
+            out = []
+            for h in batch:
+                page = read_page(h or "")
+                own = [{"path": p, "headline": None, "share": s} for p, s in votes(page)]
+                out.append([*own, {"path": None, "headline": page.headline, "share": 0.0}])
+            yield pd.Series(out)
 
     cast = pages.select(url_host(F.col(url)).alias("host"), F.explode(scored(F.col(html))).alias("v"))
-    return cast.groupBy("host", "v.path").agg(F.round(F.sum("v.share"), 6).alias("votes"), F.count("*").alias("pages"))
+    return cast.groupBy("host", "v.path", "v.headline").agg(F.round(F.sum("v.share"), 6).alias("votes"), F.count("*").alias("pages"))
 
 
 def winning_paths(cast: DataFrame) -> DataFrame:
-    """host and winner: most votes, ties to the longer and then the later path."""
-    best = F.max(F.struct("votes", F.length("path").alias("n"), "path")).alias("best")
-    return cast.groupBy("host").agg(best).select("host", F.col("best.path").alias("winner"))
+    """host, winner (path of most votes, ties to the longer and then the later one; null if none has any)
+    and site (the headline of over half of the host's pages, if it has three or more)."""
+    best = F.max(F.when(F.col("path").isNotNull(), F.struct("votes", F.length("path").alias("n"), "path"))).alias("best")
+    titles = F.when(F.col("path").isNull(), F.col("pages"))
+    usual = F.max(F.when(F.col("path").isNull() & F.col("headline").isNotNull(), F.struct("pages", "headline"))).alias("usual")
+    hosts = cast.groupBy("host").agg(best, usual, F.sum(titles).alias("n"))
+    site = F.when((F.col("n") > 2) & (F.col("usual.pages") * 2 > F.col("n")), F.col("usual.headline"))
+    return hosts.select("host", F.col("best.path").alias("winner"), site.alias("site"))
 
 
 def main_text(pages: DataFrame, url: str = "url", html: str = "html", out: str = "text") -> DataFrame:
@@ -292,14 +324,13 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", out: str =
 
     A null or empty page has an empty text. Pages without a host share the empty host.
     """
-    winners = stage(winning_paths(host_votes(pages, url, html)), "host-paths")
-    winners = winners.select(F.col("host").alias("_host"), F.col("winner").alias("_winner"))
+    own, host, winner, site = (fresh(pages, n) for n in ("own_host", "host", "winner", "site"))
+    winners = stage(winning_paths(host_votes(pages, url, html)), "host-paths").toDF(host, winner, site)
 
     @F.pandas_udf("string")
-    def text_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for htmls, paths in batches:
-            yield pd.Series([extract(read_page(h), p) if h else "" for h, p in zip(htmls, paths, strict=True)], dtype=object)
+    def text_of(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            yield pd.Series([extract(read_page(h), p, t) if h else "" for h, p, t in zip(*columns, strict=True)], dtype=object)
 
-    host: Column = url_host(F.col(url))
-    joined = pages.withColumn("_own_host", host).join(winners, F.col("_own_host") == F.col("_host"), "left")
-    return joined.withColumn(out, text_of(F.col(html), F.col("_winner"))).drop("_own_host", "_host", "_winner")
+    joined = pages.withColumn(own, url_host(F.col(url))).join(winners, F.col(own) == F.col(host), "left")
+    return joined.withColumn(out, text_of(F.col(html), F.col(winner), F.col(site))).drop(own, host, winner, site)
