@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .base import ascii_lower
+from .base import ascii_lower, fresh
 
 
 @dataclass(frozen=True)
@@ -162,25 +162,34 @@ def judge(pages: DataFrame, cascades: Sequence[Cascade], rules: Sequence[Rule] =
     four names are replaced).
 
     A page is blocked by the method if its host or one of its parent domains is listed. Null urls
-    and urls without ``://`` have an empty host and path and are allowed.
+    and urls without ``://`` have an empty host and path and are allowed. With several cascades it is
+    the distinct hosts that are staged from one to the next, never the pages.
     """
+    blocked, rule = fresh(pages, "blocked"), fresh(pages, "fitting_rule")
     df = pages.withColumn("host", url_host(F.col(url))).withColumn("path", url_path(F.col(url)))
-    df = df.withColumn("_blocked", F.lit(False))
-    for i, cascade in enumerate(cascades):
-        if cascade.levels:
-            found = F.exists(domains(F.col("host")), lambda d: listed_in(d, cascade))  # noqa: B023 - evaluated at once
-            df = df.withColumn("_blocked", F.col("_blocked") | found)
-            if i + 1 < len(cascades):
-                df = stage(df, "url-judged")
-    rule = matching_rule(F.col("host"), F.col("path"), rules)
+    filled = [c for c in cascades if c.levels]
+    if len(filled) < 2:
+        df = df.withColumn(blocked, _listed(filled[0]) if filled else F.lit(False))
+    else:
+        hosts = df.select("host").distinct().withColumn("blocked", F.lit(False))
+        for cascade in filled:
+            hosts = stage(hosts.withColumn("blocked", F.col("blocked") | _listed(cascade)), "hosts-judged")
+        listed = hosts.where("blocked").select("host", F.lit(True).alias(blocked))
+        columns = df.columns
+        df = df.join(listed, "host", "left").select(*[F.col(f"`{c}`") for c in columns], blocked)
     return (
-        df.withColumn("_rule", rule)
-        .withColumn("rule", F.col("_rule.text"))
-        .withColumn("verdict", F.coalesce(F.col("_rule.verdict"), F.when(F.col("_blocked"), "block").otherwise("allow")))
-        .drop("_rule", "_blocked")
+        df.withColumn(rule, matching_rule(F.col("host"), F.col("path"), rules))
+        .withColumn("rule", F.col(rule)["text"])
+        .withColumn("verdict", F.coalesce(F.col(rule)["verdict"], F.when(F.col(blocked), "block").otherwise("allow")))
+        .drop(rule, blocked)
     )
 
 
+def _listed(cascade: Cascade) -> Column:
+    """Whether the host or one of its parent domains is listed."""
+    return F.exists(domains(F.col("host")), lambda d: listed_in(d, cascade))
+
+
 def universe(pages: DataFrame, url: str = "url") -> DataFrame:
     """Every domain that a page of the corpus can ask for, once."""
     hosts = pages.select(url_host(F.col(url)).alias("host")).distinct()

@@ -38,6 +38,16 @@ def test_urls(spark):
         (1, "a.example.net", "/en/x", "example.net/en/", "allow"), (2, "example.net", "", None, "allow"), (3, "", "", None, "allow"), (4, "", "", None, "allow"),
         (5, "b.org", "/fr/", "org/fr/", "allow"), (6, "example.com", "/de/1", "example.com/de/", "block"), (7, "notexample.com", "/de/1", None, "allow"),
         (8, "b:", "//c.net/", None, "allow"), (9, "spam.good.example.com", "/", None, "block"), (9, "spam.good.example.com", "/", None, "block"), (10, "", "", None, "allow")]
+    for part in (8, 4):  # cascades over parts of the keys give the same; names that the work needs inside may be taken
+        several = url_filter.build_cascades(keys, part)
+        assert sum(bool(c.levels) for c in url_filter.build_cascades(keys.withColumn("listed", F.col("key").endswith("com")), part)) > 1
+        taken = pages.withColumn("blocked", F.lit("b")).withColumn("Fitting_Rule", F.lit("r"))
+        again = url_filter.judge(taken, several, rules).orderBy("page_id")
+        assert {(r.blocked, r.Fitting_Rule) for r in again.collect()} == {("b", "r")}
+        assert again.select("page_id", "host", "path", "rule", "verdict").collect() == got
+    com = keys.withColumn("listed", F.col("key").endswith("com"))
+    one, many = ({(r.url, r.verdict) for r in url_filter.judge(pages, url_filter.build_cascades(com, bits), rules).collect()} for bits in (1 << 24, 4))
+    assert one == many and {v for _, v in one} == {"allow", "block"}
     empty = url_filter.judge(pages.limit(0), url_filter.build_cascades(keys.limit(0)), rules)
     assert empty.count() == 0
 
