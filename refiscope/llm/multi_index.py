@@ -3,9 +3,10 @@
 The two halves of the unit vectors have codebooks of their own, trained on a bounded sample; pairs
 of their words form the cells of a product grid, and every vector is filed in one cell. A vector
 asks cells in the order of the summed squared distances to the two words, by multi-sequence
-traversal, until the excess over its own cell passes a reach. The reach is set on sample vectors
-with made neighbours at exactly the threshold, such that ``recall`` of them are met from one side;
-a pair is met if either side asks the other's cell. Everything met is verified in double precision.
+traversal, until the excess over its own cell passes a reach. A pair is met if either side asks the
+other's cell. The reach is set on sample vectors with made neighbours at exactly the threshold, the
+hardest pairs to meet, such that ``recall`` of these pairs are met. Everything met is verified in double
+precision.
 
 Equal vectors are one entry with a count. Members and askers of a cell are compared in chunks, a
 task a pair of chunks; a task returns the number of links of each vector and a spanning forest,
@@ -22,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 from .components import components
@@ -95,7 +97,7 @@ class Grid:
         return out
 
     def calibrate(self, sample: np.ndarray, threshold: float, recall: float, seed: int = 11) -> None:
-        """Reach at which ``recall`` of made neighbours at the threshold are met from one side."""
+        """Reach at which ``recall`` of made pairs at the threshold are met, from either side."""
         rng = np.random.default_rng(seed)
         x = sample[rng.integers(0, len(sample), TRIALS)]
         side = rng.standard_normal(x.shape)
@@ -104,8 +106,9 @@ class Grid:
         y = threshold * x + math.sqrt(1 - threshold**2) * side
         gx, gy = self.gaps(x), self.gaps(y)
         rows = np.arange(len(x))
-        excess = gx[0][rows, gy[0].argmin(1)] + gx[1][rows, gy[1].argmin(1)]
-        self.reach = float(np.quantile(excess, recall)) + 1e-9
+        asked = gx[0][rows, gy[0].argmin(1)] + gx[1][rows, gy[1].argmin(1)]
+        asking = gy[0][rows, gx[0].argmin(1)] + gy[1][rows, gx[1].argmin(1)]
+        self.reach = float(np.quantile(np.minimum(asked, asking), recall)) + 1e-9
 
 
 def fit(vectors: DataFrame, n: int, dims: int, threshold: float, recall: float) -> Grid:
@@ -146,11 +149,15 @@ def _compare(threshold: float):
         near &= np.where(member[None, :], ids[:, None] < others[None, :], True)
         # An asker whose own cell is asked by the member meets it there as well; the smaller cell counts.
         homes = right["home"].to_numpy()
-        for j in np.flatnonzero(~member & (homes < cell)):
-            back = np.flatnonzero(near[:, j])
-            for i in back:
-                if homes[j] in left["cells"].iloc[i]:
-                    near[i, j] = False
+        away = np.flatnonzero(~member & (homes < cell))
+        i, j = np.nonzero(near[:, away])
+        if len(i):
+            cells = left["cells"].to_list()
+            rows = np.unique(i)
+            asks = pd.MultiIndex.from_arrays([
+                np.repeat(rows, [len(cells[k]) for k in rows]), np.concatenate([cells[k] for k in rows])])
+            twice = pd.MultiIndex.from_arrays([i, homes[away[j]]]).isin(asks)
+            near[i[twice], away[j[twice]]] = False
         copies, other_copies = left["copies"].to_numpy(), right["copies"].to_numpy()
         counts = [(int(i), None, int(n)) for i, n in zip(ids, near @ other_copies, strict=True) if n]
         counts += [(int(i), None, int(n)) for i, n in zip(others, copies @ near, strict=True) if n]
@@ -192,7 +199,8 @@ def near_vectors(
     # Equal vectors share an entry that goes by their smallest id.
     least = -(1 << 63)
     own = vectors.select(F.coalesce(F.col(vec_id).cast("bigint"), F.lit(least)).alias("id"), F.col(embedding).alias("v"))
-    own = own.withColumn("v", F.when(usable(F.col("v")), F.col("v").cast("array<double>")))
+    single = own.schema["v"].dataType == T.ArrayType(T.FloatType())  # exact as it is and half the size
+    own = own.withColumn("v", F.when(usable(F.col("v")), F.col("v") if single else F.col("v").cast("array<double>")))
     entries = own.where("v is not null").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     entries = stage(entries, "vectors")
     tables = None
@@ -211,7 +219,7 @@ def near_vectors(
         sides = F.array(F.lit(0), F.lit(1))
         rows = rows.withColumn("side", F.explode(F.when(F.col("home") == F.col("cell"), sides).otherwise(F.array(F.lit(1)))))
         rows = rows.withColumn("x", F.explode(F.when(F.col("side") == 0, F.sequence(F.lit(0), F.col("q") - 1)).otherwise(F.sequence(F.lit(0), F.col("p") - 1))))
-        rows = rows.select("cell", "side", "id", "v", "copies", "cells", "home",
+        rows = rows.select("cell", "side", "id", "v", "copies", F.when(F.col("side") == 0, F.col("cells")).alias("cells"), "home",
                            F.when(F.col("side") == 0, p).otherwise(F.col("x")).alias("i"), F.when(F.col("side") == 0, F.col("x")).otherwise(q).alias("j"))
         found = rows.groupBy("cell", "i", "j").applyInPandas(_compare(threshold), "a bigint, b bigint, n bigint")
         tables = found if tables is None else tables.unionByName(found)
