@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 TURNS_A_BLOCK = 1024
 TOKENS_A_BLOCK = 1 << 16
 TURN_OVERHEAD = 4
@@ -74,14 +76,16 @@ def windows(
 
     ``loss`` is an array of (start from 1, length) in code points of ``formatted``. Null roles and
     texts count as empty, null turns come first, repeated rows stay, ties go by role and text; other
-    columns are not read. ``tokens``: expression over role and text, ``estimated_tokens`` by default.
+    columns are not read. ``tokens``: expression over role and text; by default ``estimated_tokens``, an
+    estimate by characters, not the count of a model's tokenizer.
     """
     turns = conversations.select(
         "conv_id", F.col("turn").cast("bigint").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("turn", F.coalesce("turn", F.lit(-(1 << 62))))
     turns = turns.withColumn("tokens", estimated_tokens(F.col("text")) if tokens is None else tokens)
-    turns = _prefix_sums(turns)
+    # Several parts of the plan start here: without the files each would shuffle the texts for the sums again.
+    turns = stage(_prefix_sums(turns), "chat-turns")
 
     leading = (F.col("role") == "system") & (F.col("before") == 0)
     system = turns.where(leading).select(
