@@ -90,7 +90,8 @@ def windows(
     leading = (F.col("role") == "system") & (F.col("before") == 0)
     system = turns.where(leading).select(
         F.col("conv_id").alias("_conv"), F.col("tokens").alias("_sys_tokens"), F.col("text").alias("_sys_text"))
-    turns = turns.join(system, turns["conv_id"].eqNullSafe(system["_conv"]), "left").drop("_conv")
+    counted = system.select("_conv", "_sys_tokens")
+    turns = turns.join(counted, turns["conv_id"].eqNullSafe(counted["_conv"]), "left").drop("_conv")
     room = F.lit(budget - history) - F.coalesce("_sys_tokens", F.lit(0))
     stride = F.greatest(F.lit(min_stride), F.floor(room / 2))
     turns = turns.withColumn("_long", F.col("tokens") > stride).withColumn("_cell", F.floor((F.col("through") - 1) / stride))
@@ -110,7 +111,7 @@ def windows(
     starts = first.withColumn("_bucket", F.explode(F.sequence(
         F.floor(F.greatest(F.col("start") - history, F.lit(0)) / TOKENS_A_BLOCK), F.floor(F.col("start") / TOKENS_A_BLOCK))))
     rows = turns.select(
-        "conv_id", "_bucket", "_cell", "_part", "role", "text", "before", "turn", "_sys_text", F.lit(None).cast("bigint").alias("start")
+        "conv_id", "_bucket", "_cell", "_part", "role", "text", "before", F.lit(None).cast("bigint").alias("start")
     ).unionByName(starts.where("start > 0").select("conv_id", "_bucket", "_cell", "_part", "start"), allowMissingColumns=True)
     ahead = Window.partitionBy("conv_id", "_bucket").orderBy(F.coalesce("start", "before")).rangeBetween(1, history)
     later = F.collect_list(F.when(F.col("start").isNotNull(), F.struct("start", "_cell", "_part"))).over(ahead)
@@ -122,12 +123,15 @@ def windows(
     rows = rows.withColumn("_to", F.explode(F.concat(own, past)))
     mark = F.concat(F.lit("<s>["), escape_role(F.col("role")), F.lit("]"))
     pieces = rows.select(
-        "conv_id", F.col("_to._cell").alias("_cell"), F.col("_to._part").alias("_part"), F.col("_to.kind").alias("kind"), "before", "turn",
-        "_sys_text", mark.alias("mark"), escape(F.col("text")).alias("body"),
+        "conv_id", F.col("_to._cell").alias("_cell"), F.col("_to._part").alias("_part"), F.col("_to.kind").alias("kind"), "before",
+        mark.alias("mark"), escape(F.col("text")).alias("body"),
         ((F.col("_to.kind") == 2) & (F.col("role") == target)).alias("loss"))
     grouped = pieces.groupBy("conv_id", "_cell", "_part").agg(
-        F.max("_sys_text").alias("_sys_text"), F.min("before").alias("_from"), F.min(F.when(F.col("kind") == 2, F.col("before"))).alias("start"),
+        F.min("before").alias("_from"), F.min(F.when(F.col("kind") == 2, F.col("before"))).alias("start"),
         F.sort_array(F.collect_list(F.struct("before", "kind", "mark", "body", "loss"))).alias("turns"))
+    # The system turn's text comes in once a window here, not with every turn.
+    spoken = system.select("_conv", "_sys_text")
+    grouped = grouped.join(spoken, grouped["conv_id"].eqNullSafe(spoken["_conv"]), "left").drop("_conv")
     # The system turn leads every window that does not reach back to it.
     system_turn = F.struct(F.lit(-1).cast("bigint").alias("before"), F.lit(0).alias("kind"), F.lit("<s>[system]").alias("mark"),
                            escape(F.col("_sys_text")).alias("body"), F.lit(False).alias("loss"))
