@@ -181,3 +181,22 @@ def test_search_of_a_frame(spark, rows):
     assert classifier.load(spark, folder).to_json() == found.model.to_json()
     with pytest.raises(ValueError):
         classifier.search(tf, [])
+
+
+def test_a_pass_is_dealt_over_the_cores(rows, spark, monkeypatch):
+    seen = []
+    ran = boosting._pass
+    monkeypatch.setattr(boosting, "_pass", lambda blocks, *rest: seen.append(blocks.getNumPartitions()) or ran(blocks, *rest))
+    many = rows.where("loan_id <> 'null'").crossJoin(spark.range(4)).withColumn("loan_id", F.concat("loan_id", F.lit("-"), "id")).coalesce(1)
+    trials, _ = boosting.fit_trials(many, NAMES, PARAMS[:1], "y", stopping=boosting.Stopping(patience=30, rungs=()))
+    assert min(seen) >= min(8, spark.sparkContext.defaultParallelism)  # a small staged table is no single task
+    assert len(seen) == 12 * 3 + 1  # a tree of three levels takes three passes; one more for the last area
+    assert len(trials[0].trees) == 12
+
+
+def test_places_by_columns_are_those_by_rows():
+    rng = np.random.default_rng(3)
+    cells = rng.integers(-1, 6, (400, 5)).astype(np.int32)
+    tree = boosting.Tree(rng.integers(-1, 5, 15), rng.integers(0, 5, 15), np.zeros(16), np.zeros(31), np.zeros(15), first_code=3)
+    for levels in (0, 2, 4, None):
+        assert np.array_equal(tree.leaf_of(cells, levels), tree.leaf_of_columns(np.ascontiguousarray(cells.T), levels))
