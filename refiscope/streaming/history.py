@@ -45,19 +45,23 @@ def append_snapshots(
     micro-batch leaves out what the manifest names, writes the rest into the partition named by a digest
     of its files and then commits them to the manifest; so rows are neither lost nor doubled when a
     batch runs again, and also when the checkpoint is lost and every file is offered anew. There is
-    no streaming state.
+    no streaming state. The stream carries the names alone: rows that a micro-batch hands over are
+    decoded whole for every use, while the files it names are read once, by the columns in use.
     """
-    landed_rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landed)
-    named = landed_rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_size").alias("_size"))
+    name, size = F.col("_metadata.file_name"), F.col("_metadata.file_size")
+    landed_files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landed)
+    named = landed_files.select(name.alias("file"), size.alias("size"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select(F.col("_file").alias("file"), F.col("_size").alias("size")).distinct()
+        files = batch.distinct()
         new = files.join(read_manifest(spark, target), ["file", "size"], "left_anti").orderBy("file", "size").collect()  # at most max_files rows
         if not new:
             return
         key = hashlib.sha256("\n".join(f"{r['file']} {r['size']}" for r in new).encode()).hexdigest()[:24]
         ours = constant_table(spark, [(r["file"], r["size"], key) for r in new], MANIFEST)
-        fresh = batch.join(ours.select(F.col("file").alias("_file"), F.col("size").alias("_size")), ["_file", "_size"], "left_semi").drop("_file", "_size")
+        offered = spark.read.schema(schema).parquet(landed).where(name.isin([r["file"] for r in new]))  # prunes the files
+        keyed = offered.select("*", name.alias("_file"), size.alias("_size"))
+        fresh = keyed.join(ours.select(F.col("file").alias("_file"), F.col("size").alias("_size")), ["_file", "_size"], "left_semi").drop("_file", "_size")
         rows = distress_history(loan_features(fresh, market, F.col(stamp)))
         overwrite_partitions(rows.withColumn("ingest_batch", F.lit(key)), target, "ingest_batch")
         ours.coalesce(1).write.mode("append").parquet(_manifest(target))

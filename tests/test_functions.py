@@ -57,3 +57,18 @@ def test_noise_is_reproducible_and_spread(spark):
     assert q().collect() == q().collect()
     s = q().agg(F.avg("u").alias("mu"), F.min("u").alias("lo"), F.max("u").alias("hi"), F.avg("g").alias("mg"), F.stddev("g").alias("sg")).first()
     assert abs(s.mu - 0.5) < 0.02 and 0 <= s.lo and s.hi < 1 and abs(s.mg) < 0.06 and abs(s.sg - 1) < 0.05 and not math.isnan(s.sg)
+
+
+def test_rounding_is_that_of_decimals(spark):
+    odd = [0.0, -0.0, 0.5, -0.5, 2.5, 1.005, 0.125, -1499.5, 1500.0, 499.99999999999994, 1e15 + 0.5, 1e300, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(x,) for x in [*odd, *[k * 0.0005 - 0.7 for k in range(3000)]]], "x double")
+    for places in (-3, 0, 2, 3, 4):
+        assert df.where(~fin.rounded("x", places).cast("string").eqNullSafe(F.round("x", places).cast("string"))).count() == 0
+    fast = df.select(fin.rounded("x", 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in fast  # not every value goes through a decimal
+
+
+def test_dates_are_iso_texts_alone(spark):
+    texts = ["2025-01-05", "2025-1-05", "2025-01-5 ", " 025-01-01", "+025-01-01", "2025-02-30", "2024-02-29", "0000-01-01", "2025-01-05T00", "", "2025", "2025-00-10", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert df.where(~dates.parse_date("s").eqNullSafe(F.try_to_date("s", "yyyy-MM-dd"))).count() == 0

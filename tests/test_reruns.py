@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 from test_risk import portfolio
 
 from refiscope.catalog import views as V
@@ -68,3 +69,14 @@ def test_one_scenario_is_run_again_and_a_broken_run_changes_nothing(spark):
     with pytest.raises(Exception, match="broken"):
         stress.run_and_commit(rows, again, breaks, path)
     assert per() == after and sorted(r.number for r in stress.latest_runs(spark, path).collect()) == [1] * 7 + [2]
+
+
+def test_files_in_the_manifest_are_not_decoded_again(spark):
+    root = scratch_path(spark, "history-names")
+    snaps = silver.add_time_to_maturity(adapter.loan_snapshots(spark, SF), adapter.REFERENCE_DATE).limit(40)
+    snaps.write.parquet(f"{root}/landed")
+    schema, now = spark.read.parquet(f"{root}/landed").schema, V.now(spark, SF)
+    history.append_snapshots(spark, f"{root}/landed", schema, now, f"{root}/history", f"{root}/a")
+    unreadable = StructType([StructField(f.name, BooleanType() if f.name == "noi_annual" else f.dataType) for f in schema])  # a column that can't be decoded so
+    history.append_snapshots(spark, f"{root}/landed", unreadable, now, f"{root}/history", f"{root}/lost")
+    assert history.read_history(spark, f"{root}/history").count() == 40
