@@ -80,3 +80,28 @@ def test_files_in_the_manifest_are_not_decoded_again(spark):
     unreadable = StructType([StructField(f.name, BooleanType() if f.name == "noi_annual" else f.dataType) for f in schema])  # a column that can't be decoded so
     history.append_snapshots(spark, f"{root}/landed", unreadable, now, f"{root}/history", f"{root}/lost")
     assert history.read_history(spark, f"{root}/history").count() == 40
+
+
+def test_rows_of_scenarios_are_written_without_a_sort(spark, monkeypatch):
+    path, rows = scratch_path(spark, "runs-unsorted"), observed(spark).crossJoin(spark.range(50).drop("id"))
+    seen, key = [], "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    real = stress._write_unsorted
+    monkeypatch.setattr(stress, "_write_unsorted", lambda r, p: (real(r, p), seen.append(spark.conf.get(key))))
+    stress.run_and_commit(rows, stress.scenario_table(spark), scorer, path)
+    assert seen == [before]  # the setting is as it was
+    assert len(set(r.file for r in spark.read.parquet(f"{path}/rows").select(F.input_file_name().alias("file")).distinct().collect())) >= 8
+    committed = stress.read_committed(spark, path).groupBy("scenario_name").count().collect()
+    assert {r["count"] for r in committed} == {100} and len(committed) == 8
+    broken = observed(spark).withColumn("current_balance", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        stress.run_and_commit(broken, stress.scenario_table(spark), scorer, path)
+    assert spark.conf.get(key) == before
+
+
+def test_frames_are_staged_by_the_columns_in_use(spark):
+    from refiscope.catalog import risk_queries as RQ
+
+    assert RQ.surv_frame(spark, SF).columns == RQ.SURVIVAL_COLUMNS
+    rows, features = RQ.fitted_survival.__globals__["survival"].model_frame(V.state(spark, SF), RQ.frame.market_curves(V.loan_market(spark, SF)))
+    assert set(features) <= set(rows.columns) and not {"deal_name", "property_id", "snapshot_at"} & set(rows.columns)
