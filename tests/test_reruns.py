@@ -105,3 +105,12 @@ def test_frames_are_staged_by_the_columns_in_use(spark):
     assert RQ.surv_frame(spark, SF).columns == RQ.SURVIVAL_COLUMNS
     rows, features = RQ.fitted_survival.__globals__["survival"].model_frame(V.state(spark, SF), RQ.frame.market_curves(V.loan_market(spark, SF)))
     assert set(features) <= set(rows.columns) and not {"deal_name", "property_id", "snapshot_at"} & set(rows.columns)
+
+
+def test_the_export_prices_the_loans_once(spark, monkeypatch):
+    from refiscope.catalog import table_queries
+
+    calls, priced = [], V.state
+    monkeypatch.setattr(V, "state", lambda *args: calls.append(1) or priced(*args))
+    counts = {r.table_name: r.n for r in table_queries.star_schema_export(spark, SF).collect()}
+    assert len(calls) == 1 and len(counts) == 10 and counts["fact_stress_results"] == 8 * counts["dim_loan"]
