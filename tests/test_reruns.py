@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 from test_risk import portfolio
 
+from refiscope import catalog
 from refiscope.catalog import views as V
 from refiscope.plans import silver, stress
 from refiscope.session import scratch_path
@@ -108,9 +109,8 @@ def test_frames_are_staged_by_the_columns_in_use(spark):
 
 
 def test_the_export_prices_the_loans_once(spark, monkeypatch):
-    from refiscope.catalog import table_queries
-
+    star_schema_export = catalog.load()[0]["star_schema_export"]
     calls, priced = [], V.state
     monkeypatch.setattr(V, "state", lambda *args: calls.append(1) or priced(*args))
-    counts = {r.table_name: r.n for r in table_queries.star_schema_export(spark, SF).collect()}
+    counts = {r.table_name: r.n for r in star_schema_export(spark, SF).collect()}
     assert len(calls) == 1 and len(counts) == 10 and counts["fact_stress_results"] == 8 * counts["dim_loan"]
