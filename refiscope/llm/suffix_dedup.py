@@ -6,7 +6,7 @@ bucket can be sorted by itself. Neighbouring suffixes of a text share the window
 ("contexts") of suffixes around one anchor; a context whose bytes occur twice is settled as a whole,
 and a bucket of one context cannot repeat. What is left are the contexts at the edges of repeats.
 
-One bucket at a time they are sorted. Ties after the first bytes are not compared byte by byte:
+One bucket at a time they are sorted, but for suffixes whose first and last bytes occur once. Ties after the first bytes are not compared byte by byte:
 ranks of a difference-cover sample, those positions whose offset modulo 21 is in {0, 1, 4, 14, 16},
 are sorted first, by the 378 bytes from each of them: strings of 21 bytes get their rank in the order
 of bytes, and pairs of ranks are doubled, as a step of 21 bytes leads from one sample position to the
@@ -43,8 +43,13 @@ STEPS = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
 BUCKET = 8192
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _STARTS_AT_ONCE = 1 << 20
+#: Short texts are digested together, in buffers of about so many bytes.
+_BYTES_AT_ONCE = 1 << 16
+_TEXTS_AT_ONCE = 256
+#: Place of the cover's rank among the columns, after the part and the columns of the first bytes.
+_RANKED = 4
 _PLACE = np.uint64((1 << 21) - 1)
-_CONTEXTS_AT_ONCE = 2048
+_CONTEXTS_AT_ONCE = 512
 _MUL_A = np.uint64(0x9E3779B97F4A7C15)
 _MUL_B = np.uint64(0xD6E8FEB86659FD93)
 _SHIFT = np.uint64(32)
@@ -78,14 +83,15 @@ class Digests:
         return _mix(whole[starts], whole[starts + (length - (1 << k))])
 
 
-def anchors(raw: bytes, length: int = 400) -> list[tuple[np.ndarray, ...]]:
-    """Runs of starts with one anchor: lo, hi (both included), anchor, bucket, digest of the context."""
+def anchors(texts: list[bytes], length: int = 400) -> list[tuple[np.ndarray, ...]]:
+    """Runs of starts with one anchor: index of the text, lo, hi (both included), anchor, bucket, digest of
+    the context. Texts under ``length`` bytes have none."""
     out = []
     power = max(0, min(WINDOW_POWER, length.bit_length() - 2))
     half = length.bit_length() - 1
-    for base in range(0, len(raw) - length + 1, _STARTS_AT_ONCE):
-        n = min(_STARTS_AT_ONCE, len(raw) - length + 1 - base)
-        digests = Digests(np.frombuffer(raw, np.uint8, n + length - 1, base))
+    for first, begin, data, base in _buffers(texts, length):
+        n = len(data) - length + 1
+        digests = Digests(data)
         windows = digests.power(power)
         key = (windows & ~_PLACE) | np.arange(len(windows), dtype=np.uint64)  # leftmost of equal windows
         reach, width = 1, length - (1 << power) + 1
@@ -94,42 +100,75 @@ def anchors(raw: bytes, length: int = 400) -> list[tuple[np.ndarray, ...]]:
             reach *= 2
         if width > reach:
             key = np.minimum(key[: -(width - reach)], key[width - reach :])
-        place = (key & _PLACE).astype(np.int64)
-        cut = np.flatnonzero(place[1:] != place[:-1]) + 1
-        lo, hi = np.concatenate([[0], cut]), np.concatenate([cut, [n]]) - 1
+        key &= _PLACE
+        place = key.view(np.int64)
+        last = np.append(begin[1:], len(data)) - length  # start of a text
+        new = np.append(True, place[1:] != place[:-1])
+        new[begin] = True
+        new[last[:-1] + 1] = True
+        lo = np.flatnonzero(new)
+        hi = np.append(lo[1:], n) - 1
+        owner = np.searchsorted(begin, lo, "right") - 1
+        whole_in = lo <= last[owner]  # what begins in one text and ends in the next is no string
+        lo, hi, owner = lo[whole_in], hi[whole_in], owner[whole_in]
         at = place[lo]
         long = digests.power(half)
         size = hi - lo + length  # under four times the power: four strings of it cover all
         rest = size - (1 << half)
         whole = _mix(_mix(long[lo], long[lo + rest // 3]), _mix(long[lo + 2 * rest // 3], long[lo + rest]))
         whole = _mix(whole, size.astype(np.uint64))
-        out.append((lo + base, hi + base, at + base, windows[at].view(np.int64), whole.view(np.int64)))
+        shift = base - begin[owner]
+        out.append((first[owner], lo + shift, hi + shift, at + shift, windows[at].view(np.int64), whole.view(np.int64)))
     return out
 
 
-def _anchor_rows(length: int):
+def _buffers(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Short texts put together, as many as stay in a core's cache, and long ones in parts that overlap:
+    indexes of the texts, where each begins, their bytes, and where the part of a long text begins."""
+    held, size = [], 0
+
+    def together() -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        begin = np.cumsum([0, *(len(texts[i]) for i in held[:-1])])
+        return np.array(held), begin, np.frombuffer(b"".join([texts[i] for i in held]), np.uint8), 0
+
+    for i, raw in enumerate(texts):
+        if len(raw) < length:
+            continue
+        if len(raw) > min(_BYTES_AT_ONCE, _STARTS_AT_ONCE):
+            for base in range(0, len(raw) - length + 1, _STARTS_AT_ONCE):
+                n = min(_STARTS_AT_ONCE, len(raw) - length + 1 - base)
+                yield np.array([i]), np.zeros(1, np.int64), np.frombuffer(raw, np.uint8, n + length - 1, base), base
+            continue
+        held.append(i)
+        size += len(raw)
+        if size >= _BYTES_AT_ONCE:
+            yield together()
+            held, size = [], 0
+    if held:
+        yield together()
+
+
+def _anchor_rows(length: int, rows_at_once: int = 20_000):
+    def frame(parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(("k1", "k2", "lo", "hi", "at", "bucket", "whole"))})
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
         for batch in batches:
-            for k1, k2, raw in zip(batch["k1"], batch["k2"], batch["raw"], strict=True):
-                for lo, hi, at, bucket, whole in anchors(raw, length):
-                    yield pd.DataFrame({"k1": k1, "k2": k2, "lo": lo, "hi": hi, "at": at, "bucket": bucket, "whole": whole})
+            k1, k2 = batch["k1"].to_numpy(), batch["k2"].to_numpy()
+            for at in range(0, len(batch), _TEXTS_AT_ONCE):
+                for text, *found in anchors(list(batch["raw"][at : at + _TEXTS_AT_ONCE]), length):
+                    held.append((k1[at + text], k2[at + text], *found))
+                    n += len(text)
+                if n >= rows_at_once:
+                    yield frame(held)
+                    held, n = [], 0
+        if held:
+            yield frame(held)
 
     return rows
 
 
-def _joined(parts: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
-    """Small frames put together, so that few Arrow batches travel."""
-    held, n = [], 0
-    for part in parts:
-        held.append(part)
-        n += len(part)
-        if n >= rows:
-            yield pd.concat(held, ignore_index=True)
-            held, n = [], 0
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def _dense(*keys: np.ndarray) -> np.ndarray:
     """Ranks, from 0 without gaps, of the rows of key columns, the first of which counts most."""
     rank = np.unique(keys[0], return_inverse=True)[1]
@@ -157,7 +196,14 @@ def _cover_ranks(ordered: Ordered, size: int, blocks: int) -> np.ndarray:
     """Ranks of the strings of ``blocks`` periods that begin at the cover's positions, in their order in
     the buffer: first of one period each, then doubled, since a position one period on is in the cover too."""
     sample = (np.arange(0, size - size % PERIOD, PERIOD)[:, None] + np.array(COVER)).ravel()
-    rank, have = _dense(*ordered.of(np.minimum(sample, size - PERIOD), PERIOD)), 1
+    at = np.minimum(sample, size - PERIOD)
+    if len(at) >> 24:  # more ranks than three bytes hold
+        rank, pieces = _dense(*ordered.of(at, PERIOD)), ()
+    else:
+        rank, pieces = np.unique(ordered.words[at], return_inverse=True)[1], ((8, 5), (13, 5), (18, 3))
+    have = 1
+    for begin, width in pieces:  # a rank and five bytes fill one number
+        rank = np.unique(rank.astype(np.uint64) << np.uint64(40) | ordered.words[at + begin] >> np.uint64(64 - 8 * width), return_inverse=True)[1]
     while have < blocks:
         step = min(have, blocks - have)
         after = np.minimum(np.arange(len(rank)) + len(COVER) * step, len(rank) - 1)
@@ -188,20 +234,72 @@ def _suffix_keys(contexts: list[bytes], offsets: np.ndarray, runs: np.ndarray, l
     return owner, offsets[owner] - inside, [*ordered.of(starts, PERIOD), ranked, *ordered.of(starts + blocks * PERIOD, length - blocks * PERIOD)]
 
 
+def _alike(bucket: np.ndarray, contexts: list[bytes], offsets: np.ndarray, runs: np.ndarray, length: int) -> np.ndarray:
+    """Of all suffixes of contexts, those that another one has the bucket, the offset and, as far as a digest
+    tells, the first and last bytes in common with. Equal suffixes always do."""
+    data = np.frombuffer(b"".join([*contexts, bytes(8)]), np.uint8)
+    words, width = Ordered(data).words, min(8, length)
+    begin = np.cumsum([0, *map(len, contexts)])[:-1]
+    owner = np.repeat(np.arange(len(contexts)), runs)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
+    starts, cut = begin[owner] + inside, np.uint64(8 * (8 - width))
+    ends = _mix(words[starts] >> cut, words[starts + (length - width)] >> cut)
+    key = _mix(_mix(ends, bucket[owner].astype(np.uint64)), (offsets[owner] - inside).astype(np.uint64))
+    order = np.argsort(key)
+    key = key[order]
+    same = np.zeros(len(key) + 1, bool)
+    same[1:-1] = key[1:] == key[:-1]
+    out = np.zeros(len(key), bool)
+    out[order] = same[1:] | same[:-1]
+    return out
+
+
 def repeated(group: np.ndarray, contexts: list[bytes], offsets: np.ndarray, copies: np.ndarray, length: int = 400) -> list[np.ndarray]:
-    """Per context, which of its suffixes occur at least twice in their bucket ``group``, copies counted."""
+    """Per context, which of its suffixes occur at least twice in their bucket ``group``, copies counted.
+
+    Suffixes that are alone with their first and last bytes are left out before the sort. The others
+    are put in the order of their cover ranks; where the bytes before and after these differ within
+    one rank, by all columns.
+    """
     runs = np.array([len(c) - length + 1 for c in contexts])
-    owner, before, columns = _suffix_keys(contexts, offsets, runs, length)
-    spread = int(before.max(initial=0)) + 1 - int(before.min(initial=0))
-    part = np.unique(group, return_inverse=True)[1][owner] * spread + before - int(before.min(initial=0))
-    order = np.lexsort((*columns[::-1], part))
-    keys = [x[order] for x in (part, *columns)]
-    new = np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]) if len(order) else np.zeros(0, bool)
+    first = np.cumsum(runs) - runs
+    bucket = np.unique(group, return_inverse=True)[1]
+    twice = np.repeat(copies >= 2, runs)
+    alive = np.flatnonzero(_alike(bucket, contexts, offsets, runs, length))
+    if len(alive):
+        of = np.searchsorted(first, alive, "right") - 1
+        edge = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        used, low = of[edge], alive[edge] - first[of[edge]]
+        high = alive[np.append(edge[1:], len(alive)) - 1] - first[used]
+        parts = [contexts[i][a : b + length] for i, a, b in zip(used.tolist(), low.tolist(), high.tolist(), strict=True)]
+        sizes = high - low + 1
+        owner, before, columns = _suffix_keys(parts, offsets[used] - low, sizes, length)
+        own = np.repeat(np.arange(len(used)), np.diff(np.append(edge, len(alive))))
+        at = alive - first[of] - low[own] + (np.cumsum(sizes) - sizes)[own]
+        before, columns = before[at], [c[at] for c in columns]
+        spread = int(before.max()) + 1 - int(before.min())
+        columns.insert(0, bucket[of] * spread + before - int(before.min()))
+        twice[alive] |= _equal_rows(columns, copies[of]) >= 2
+    return np.split(twice, first[1:])
+
+
+def _equal_rows(columns: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """For every row of key columns, the weight of all that are equal to it."""
+    n = len(weights)
+    order = np.lexsort((columns[_RANKED], columns[0])) if len(columns) > _RANKED else np.lexsort(columns[::-1])
+    keys = [c[order] for c in columns]
+    changed = [np.append(True, k[1:] != k[:-1]) for k in keys]
+    new = changed[0] | changed[_RANKED] if len(columns) > _RANKED else np.logical_or.reduce(changed)
+    other = np.logical_or.reduce(changed) & ~new
     number = np.cumsum(new) - 1
-    total = np.bincount(number, weights=copies[owner[order]]) if len(order) else np.zeros(0)
-    twice = np.zeros(len(order), bool)
-    twice[order] = total[number] >= 2
-    return np.split(twice, np.cumsum(runs)[:-1])
+    if other.any():  # within one rank: by all columns
+        mixed = np.flatnonzero(np.isin(number, number[other]))
+        order[mixed] = order[mixed][np.lexsort([k[mixed] for k in keys[::-1]] + [number[mixed]])]
+        keys = [c[order] for c in columns]
+        number = np.cumsum(np.logical_or.reduce([np.append(True, k[1:] != k[:-1]) for k in keys])) - 1
+    out = np.zeros(n)
+    out[order] = np.bincount(number, weights=weights[order])[number]
+    return out
 
 
 def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -217,7 +315,7 @@ def _sorted_buckets(length: int):
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         found = repeated(rows["bucket"].to_numpy(), list(rows["context"]), rows["before"].to_numpy(), rows["n"].to_numpy(), length)
-        out = [(k1, k2, lo + s, lo + e) for k1, k2, lo, n, mask in zip(rows["k1"], rows["k2"], rows["lo"], rows["n"], found, strict=True) if n == 1 for s, e in _runs(mask)]
+        out = [(k1, k2, lo + s, lo + e) for k1, k2, lo, n, mask in zip(rows["k1"], rows["k2"], rows["lo"], rows["n"], found, strict=True) if n == 1 and mask.any() for s, e in _runs(mask)]
         return pd.DataFrame(out, columns=["k1", "k2", "lo", "hi"], dtype="int64")
 
     def buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,8 +366,7 @@ def repeated_starts(docs: DataFrame, length: int = 400, doc_id: str = "doc_id",
 
 def _repeated_starts(named: DataFrame, length: int) -> DataFrame:
     schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, at bigint, bucket bigint, whole bigint"
-    find = _anchor_rows(length)
-    found = named.where(F.length("raw") >= length).mapInPandas(lambda b: _joined(find(b), 20_000), schema)
+    found = named.where(F.length("raw") >= length).mapInPandas(_anchor_rows(length), schema)
     found = stage(found, "suffix-anchors")
     shared = found.groupBy("bucket").agg(F.count("*").alias("all")).where("all > 1").select("bucket")
     # From files both sides are shuffled for the join, so a hot bucket can be split.

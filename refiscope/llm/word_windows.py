@@ -35,6 +35,8 @@ WINDOW = 20
 _BLOCK = 1 << 18
 _PLACE = np.uint64((1 << 20) - 1)
 _ROWS = 50_000
+#: Short texts are looked at together, about so many words and at most so many texts at once.
+_WORDS_AT_ONCE, _TEXTS_AT_ONCE = 1 << 15, 64
 _LENGTH_BITS = 20
 
 
@@ -42,13 +44,13 @@ def _anchor_words(window: int) -> int:
     return max(1, window // 4)
 
 
-def runs_of(values: np.ndarray, window: int = WINDOW) -> list[tuple[np.ndarray, ...]]:
-    """Runs of windows with one anchor: first window, number of windows, words before the anchor,
-    fingerprint of the anchor, fingerprint of all words of the run. ``values``: word digests."""
+def runs_of_texts(texts: list[np.ndarray], window: int = WINDOW) -> list[tuple[np.ndarray, ...]]:
+    """Runs of windows with one anchor: index of the text, first window, number of windows, words before the
+    anchor, fingerprint of the anchor, fingerprint of all words of the run. ``texts``: word digests."""
     short, out = _anchor_words(window), []
-    for base in range(0, len(values) - window + 1, _BLOCK):
-        n = min(_BLOCK, len(values) - window + 1 - base)
-        rolling = Rolling(values[base : base + n + window - 1])
+    for first, begin, values, base in _buffers(texts, window):
+        n = len(values) - window + 1
+        rolling = Rolling(values)
         anchors = mixed(rolling.windows(short))
         key = (anchors & ~_PLACE) | np.arange(len(anchors), dtype=np.uint64)  # leftmost of equal anchors
         reach, width = 1, window - short + 1
@@ -58,35 +60,69 @@ def runs_of(values: np.ndarray, window: int = WINDOW) -> list[tuple[np.ndarray,
         if width > reach:
             key = np.minimum(key[: -(width - reach)], key[width - reach :])
         place = (key & _PLACE).astype(np.int64)
-        lo = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
+        last = np.append(begin[1:], len(values)) - window  # window of a text
+        new = np.append(True, place[1:] != place[:-1])
+        new[begin] = True
+        new[last[:-1] + 1] = True
+        lo = np.flatnonzero(new)
         size = np.diff(np.append(lo, n))
+        owner = np.searchsorted(begin, lo, "right") - 1
+        whole_in = lo <= last[owner]  # not from one text to the next
+        lo, size, owner = lo[whole_in], size[whole_in], owner[whole_in]
         at = place[lo]
         whole = mixed(rolling.of(lo, size + window - 1), 1) ^ mixed((size << 20 | (at - lo)).astype(np.uint64))
-        out.append((lo + base, size, at - lo, anchors[at].view(np.int64), whole.view(np.int64)))
+        out.append((first[owner], lo + (base - begin[owner]), size, at - lo, anchors[at].view(np.int64), whole.view(np.int64)))
     return out
 
 
+def runs_of(values: np.ndarray, window: int = WINDOW) -> list[tuple[np.ndarray, ...]]:
+    """``runs_of_texts`` of one text, without its index."""
+    return [part[1:] for part in runs_of_texts([values], window)]
+
+
+def _buffers(texts: list[np.ndarray], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Short texts put together and long ones in blocks that overlap: indexes of the texts, where each
+    begins, their digests, and where the block of a long text begins."""
+    held, size = [], 0
+
+    def together() -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        return np.array(held), np.cumsum([0, *(len(texts[i]) for i in held[:-1])]), np.concatenate([texts[i] for i in held]), 0
+
+    for i, values in enumerate(texts):
+        if len(values) < window:
+            continue
+        if len(values) > min(_WORDS_AT_ONCE, _BLOCK):
+            for base in range(0, len(values) - window + 1, _BLOCK):
+                yield np.array([i]), np.zeros(1, np.int64), values[base : base + _BLOCK + window - 1], base
+            continue
+        held.append(i)
+        size += len(values)
+        if size >= _WORDS_AT_ONCE:
+            yield together()
+            held, size = [], 0
+    if held:
+        yield together()
+
+
 def _run_rows(window: int):
-    names = ["lo", "n", "before", "anchor", "whole"]
+    names = ["k1", "k2", "lo", "n", "before", "anchor", "whole"]
 
-    def frame(keys: list[tuple[int, int]], parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
-        sizes = [len(p[0]) for p in parts]
-        columns = {"k1": np.repeat([k[0] for k in keys], sizes), "k2": np.repeat([k[1] for k in keys], sizes)}
-        return pd.DataFrame(columns | {c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(names)})
+    def frame(parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(names)})
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, parts, held = [], [], 0
+        parts, held = [], 0
         for batch in batches:
-            for k1, k2, raw in zip(batch["k1"], batch["k2"], batch["raw"], strict=True):
-                for part in runs_of(word_digests(raw), window):
-                    keys.append((k1, k2))
-                    parts.append(part)
-                    held += len(part[0])
+            k1, k2 = batch["k1"].to_numpy(), batch["k2"].to_numpy()
+            for at in range(0, len(batch), _TEXTS_AT_ONCE):
+                for text, *found in runs_of_texts([word_digests(raw) for raw in batch["raw"][at : at + _TEXTS_AT_ONCE]], window):
+                    parts.append((k1[at + text], k2[at + text], *found))
+                    held += len(text)
                 if held >= _ROWS:
-                    yield frame(keys, parts)
-                    keys, parts, held = [], [], 0
+                    yield frame(parts)
+                    parts, held = [], 0
         if held:
-            yield frame(keys, parts)
+            yield frame(parts)
 
     return rows
 

@@ -111,3 +111,53 @@ def test_words_that_occur_twice(spark, words):
     assert {r.doc_id: r.n_word_repeats for r in got} == lost and sum(lost.values())
     cut = suffix_dedup.remove_repeats(spark.createDataFrame(rows, DOCS), 10_000, words=words).collect()
     assert {r.doc_id: len((r.text or "").encode().split()) for r in cut} == {i: n - lost[i] for i, n, _ in expected}
+
+
+def counted(monkeypatch, module, name):
+    made, real = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda *a: made.append(a) or real(*a))
+    return made
+
+
+def test_short_texts_are_digested_together(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(6)
+    raws = [bytes(rng.choice(b"ab ") for _ in range(rng.randrange(0, 900))) for _ in range(300)]
+    alone = [(i, *row) for i, raw in enumerate(raws) for _, *part in suffix_dedup.anchors([raw]) for row in zip(*(p.tolist() for p in part))]
+    made = counted(monkeypatch, suffix_dedup, "Digests")
+    parts = suffix_dedup.anchors(raws)
+    assert sorted(row for part in parts for row in zip(*(p.tolist() for p in part))) == sorted(alone)
+    assert 1 <= len(made) <= 5  # one a text before
+    words = [rolling.word_digests(raw) for raw in raws]
+    alone = [(i, *row) for i, v in enumerate(words) for part in word_windows.runs_of(v) for row in zip(*(np.asarray(p).tolist() for p in part))]
+    made = counted(monkeypatch, word_windows, "Rolling")
+    parts = word_windows.runs_of_texts(words)
+    assert sorted(row for part in parts for row in zip(*(p.tolist() for p in part))) == sorted(alone)
+    assert 1 <= len(made) <= 3
+
+
+@pytest.mark.parametrize("length", [1, 7, 9, 20, 22, 43, 64, 400])
+def test_lone_suffixes_are_not_sorted(monkeypatch, length):
+    import numpy as np
+
+    rng = random.Random(length)
+    for _ in range(40):
+        base = bytes(rng.choice(b"ab") for _ in range(length + 60))
+        contexts = [bytearray(base[rng.randrange(20) :][: length + rng.randrange(40)]) for _ in range(rng.randrange(1, 8))]
+        for c in contexts:
+            if rng.random() < 0.6:
+                c[rng.randrange(len(c))] ^= 3
+        contexts = [bytes(c) for c in contexts]
+        group, offsets, copies = ([rng.randrange(a, b) for _ in contexts] for a, b in ((0, 2), (0, 30), (1, 3)))
+        total = collections.Counter()
+        for g, o, n, c in zip(group, offsets, copies, contexts):
+            for s in range(len(c) - length + 1):
+                total[g, o - s, c[s : s + length]] += n
+        found = suffix_dedup.repeated(np.array(group), contexts, np.array(offsets), np.array(copies), length)
+        expected = [[total[g, o - s, c[s : s + length]] >= 2 for s in range(len(c) - length + 1)] for g, o, c in zip(group, offsets, contexts)]
+        assert [f.tolist() for f in found] == expected
+    apart = [bytes([i]) * (length + 5) for i in range(97, 105)]
+    made = counted(monkeypatch, suffix_dedup, "_suffix_keys")
+    found = suffix_dedup.repeated(np.zeros(8, int), apart, np.zeros(8, int), np.ones(8, int), length)
+    assert not any(f.any() for f in found) and not made  # all were sorted before
