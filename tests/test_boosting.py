@@ -200,3 +200,14 @@ def test_places_by_columns_are_those_by_rows():
     tree = boosting.Tree(rng.integers(-1, 5, 15), rng.integers(0, 5, 15), np.zeros(16), np.zeros(31), np.zeros(15), first_code=3)
     for levels in (0, 2, 4, None):
         assert np.array_equal(tree.leaf_of(cells, levels), tree.leaf_of_columns(np.ascontiguousarray(cells.T), levels))
+
+
+def test_places_by_columns_of_bytes_and_codes():
+    rng = np.random.default_rng(5)
+    for depth in (3, 6, 9):  # nine levels are not walked by masks
+        inner = (1 << depth) - 1
+        tree = boosting.Tree(rng.integers(-1, 3, inner), rng.integers(0, 6, inner), np.zeros(inner + 1), np.zeros(2 * inner + 1), np.zeros(inner), first_code=2)
+        columns = [rng.integers(0, 256, 500).astype(np.uint8), rng.integers(0, 6, 500).astype(np.uint8), rng.integers(-1, 6, 500).astype(np.int32)]
+        assert np.array_equal(tree.leaf_of(np.stack(columns, axis=1).astype(int)), tree.leaf_of_columns(columns))
+    none = boosting.Tree(np.full(3, -1), np.zeros(3, int), np.zeros(4), np.zeros(7), np.zeros(3))
+    assert none.leaf_of_columns([], n=7).tolist() == [0] * 7

@@ -92,6 +92,20 @@ def test_trees_over_a_large_vocabulary(rows, vocab, monkeypatch):
     assert trials[0].areas[-1] > 0.75
 
 
+def test_codes_add_up_alike_and_passes_read_kept_blocks(rows, vocab, monkeypatch):
+    kept, grown = [], []
+    ran = boosting._pass
+    monkeypatch.setattr(boosting, "_pass", lambda blocks, *rest: kept.append(blocks.is_cached) or ran(blocks, *rest))
+    coded = encode.with_codes(rows, vocab, COLUMNS).repartition(3)
+    params = [boosting.Params(max_depth=3, learning_rate=0.3, n_trees=2, min_child_weight=2.0, subsample=0.7)]
+    for most in (1 << 16, 0):  # all codes of a column, or those that occur
+        monkeypatch.setattr(boosting, "_DENSE_CODES", most)
+        trials, _ = boosting.fit_trials(coded, ["x"], params, "y", stopping=boosting.Stopping(rungs=()), codes=encode.code_columns(COLUMNS))
+        grown.append([[a.tolist() for a in (t.feature, t.cut, t.value, t.cover)] for t in trials[0].trees])
+    assert grown[0] == grown[1] and any(f >= 1 for t in grown[0] for f in t[0])
+    assert kept and all(kept)
+
+
 def labelled(spark, leak: str | None = None, one_sided: bool = False):
     rng = np.random.default_rng(3)
     data = []
