@@ -187,8 +187,12 @@ def repeated_windows(named: DataFrame, window: int = WINDOW, keep_first: bool =
     firsts = every.groupBy("anchor", "whole").agg(F.count("*").alias("copies"), F.min(entry).alias("first"), F.first("n").alias("n"), F.first("before").alias("before"))
     firsts = stage(firsts, "window-firsts")
     # 1. Runs that start earlier as a whole.
-    again = every.join(firsts.where("copies > 1").select("anchor", "whole", "first"), ["anchor", "whole"])
-    whole = (again.where(F.struct("k1", "k2", "lo") != F.col("first")) if keep_first else again).select("k1", "k2", _packed(F.col("lo"), F.col("n").cast("bigint")))
+    twice, names = firsts.where("copies > 1"), ["anchor", "whole"]
+    if keep_first:
+        again = every.join(twice.select(*names, "first"), names).where(F.struct("k1", "k2", "lo") != F.col("first"))
+    else:  # that it repeats is all there is to know of a run
+        again = every.join(twice.select(*names), names, "left_semi")
+    whole = again.select("k1", "k2", _packed(F.col("lo"), F.col("n").cast("bigint")))
     # 2. Windows of first runs whose anchor has several kinds.
     kinds = firsts.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
     kinds = stage(kinds, "window-kinds")

@@ -119,6 +119,20 @@ def counted(monkeypatch, module, name):
     return made
 
 
+def test_repeated_runs_are_one_row_a_place(spark):
+    rng = random.Random(3)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared, found = line(120), []
+    for copies in (30, 60):
+        rows = spark.createDataFrame([(i, None, (line(10) + " " + shared + " " + line(10)).encode()) for i in range(copies)], "k1 bigint, k2 bigint, raw binary")
+        runs = word_windows.repeated_windows(rows.withColumn("k2", F.xxhash64("raw")), 51, keep_first=False)
+        assert "LeftSemi" in runs._jdf.queryExecution().optimizedPlan().toString()  # no run meets another one
+        found.append(runs.count())
+        assert runs.count() == runs.distinct().count()
+    # Not four times as many: twice, but for what the words around a passage do to the first and last run.
+    assert 0 < found[0] < found[1] <= 2.5 * found[0]
+
+
 def test_short_texts_are_digested_together(monkeypatch):
     import numpy as np
 
