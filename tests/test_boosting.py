@@ -194,6 +194,20 @@ def test_a_pass_is_dealt_over_the_cores(rows, spark, monkeypatch):
     assert len(trials[0].trees) == 12
 
 
+def test_a_task_sends_one_record_a_trial(rows, monkeypatch):
+    sent, ran = [], boosting._pass
+
+    def counted(blocks, work, column, *rest):
+        part = next(blocks.glom().toLocalIterator())
+        sent.append((len(work), [key for key, _ in boosting._histograms(work, column, *rest)(iter(part))]))
+        return ran(blocks, work, column, *rest)
+
+    monkeypatch.setattr(boosting, "_pass", counted)
+    coded = rows.withColumn("code", F.when(F.col("a") > 0, F.col("loan_id").substr(-1, 1).cast("int")))
+    boosting.fit_trials(coded, ["a", "b"], PARAMS[:2], "y", stopping=boosting.Stopping(patience=2, rungs=()), codes=["code"])
+    assert sent and all(len(keys) == n and {f for _, f, _ in keys} == {boosting._JOINED} for n, keys in sent)
+
+
 def test_places_by_columns_are_those_by_rows():
     rng = np.random.default_rng(3)
     cells = rng.integers(-1, 6, (400, 5)).astype(np.int32)
