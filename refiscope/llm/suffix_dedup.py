@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import release, stage
 from . import word_windows
+from .base import small_batches
 
 #: Bytes of the window that names a bucket are two to this power, fewer for short strings.
 WINDOW_POWER = 6
@@ -433,6 +434,7 @@ def word_spans(raw: bytes, gone: list[tuple[int, int]]) -> list[tuple[int, int]]
 
 def _with_runs(docs: DataFrame, length: int, words: int | None, doc_id: str, text: str) -> DataFrame:
     """``docs`` with k1, k2, raw, runs (of starts) and word_runs (packed windows of ``words`` words that occur twice)."""
+    small_batches(docs.sparkSession)
     own = _keyed(docs, doc_id, text).select("k1", "k2", "raw")
     runs = _repeated_starts(own, length).groupBy("k1", "k2").agg(F.collect_list(F.array("lo", "hi")).alias("runs"))
     joined = _keyed(docs, doc_id, text).join(stage(runs, "suffix-runs"), ["k1", "k2"], "left")

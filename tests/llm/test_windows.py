@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_near import DOCS, plain_removal, texts
 
-from refiscope.llm import rolling, suffix_dedup, word_windows
+from refiscope.llm import base, rolling, suffix_dedup, word_windows
 
 
 def plain_spans(rows, window, keep_first=True):
@@ -133,6 +133,18 @@ def test_repeated_runs_are_one_row_a_place(spark):
     assert 0 < found[0] < found[1] <= 2.5 * found[0]
 
 
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(base, "BATCH_ROWS", 50)
+    try:
+        docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("all the same "), 9), "id").alias("text"))
+        cut = suffix_dedup.remove_repeats(docs, 40)
+        sizes = cut.coalesce(1).mapInPandas(lambda batches: (b[["doc_id"]].assign(doc_id=len(b))[:1] for b in batches), "doc_id bigint").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(sizes) >= 8 and max(r.doc_id for r in sizes) <= 50
+
+
 def test_short_texts_are_digested_together(monkeypatch):
     import numpy as np
 
