@@ -2,6 +2,7 @@
 
 import itertools
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -225,3 +226,34 @@ def test_places_by_columns_of_bytes_and_codes():
         assert np.array_equal(tree.leaf_of(np.stack(columns, axis=1).astype(int)), tree.leaf_of_columns(columns))
     none = boosting.Tree(np.full(3, -1), np.zeros(3, int), np.zeros(4), np.zeros(7), np.zeros(3))
     assert none.leaf_of_columns([], n=7).tolist() == [0] * 7
+
+
+def test_below_the_root_the_lighter_children_are_counted(rows, monkeypatch):
+    last, seen, ran = {}, [], boosting._pass
+
+    def both(blocks, work, column, n_numeric, bins, spans):
+        got = ran(blocks, work, column, n_numeric, bins, spans)
+        every = ran(blocks, [replace(w, counted=None) for w in work], column, n_numeric, bins, spans)[0]
+        for w in work:
+            numbers = lambda total, nodes: total[-2 * bins * nodes * len(w.chosen) :].reshape(len(w.chosen), 2, nodes, bins)
+            whole = numbers(every[w.number], 1 << w.levels)
+            if w.levels:
+                assert 0 < w.nodes <= 1 << (w.levels - 1)
+                assert np.array_equal(boosting._with_siblings(w, numbers(got[0][w.number], w.nodes), last[w.number]), whole)
+                seen.append(w.levels)
+            last[w.number] = whole
+        return got
+
+    monkeypatch.setattr(boosting, "_pass", both)
+    boosting.fit_trials(rows, NAMES, [replace(p, n_trees=2) for p in PARAMS], "y", stopping=STOP)
+    assert {1, 2, 3} <= set(seen)
+
+
+def test_margins_are_alike_in_memory_and_in_files(rows, monkeypatch):
+    grown = []
+    monkeypatch.setattr(boosting, "TREES_BETWEEN", 2)
+    for times in (1, 3):
+        monkeypatch.setattr(boosting, "TIMES_BETWEEN_FILES", times)
+        trials, _ = boosting.fit_trials(rows, NAMES, PARAMS[:1], "y", stopping=boosting.Stopping(patience=20, rungs=()))
+        grown.append([(t.feature.tolist(), t.value.tolist()) for t in trials[0].trees])
+    assert grown[0] == grown[1] and len(grown[0]) == 12
