@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from refiscope.operators import boosting, metrics, treeshap
+from refiscope.operators import boosting, explain, metrics, treeshap
 from refiscope.plans import classifier
 from refiscope.session import scratch_path
 
@@ -257,3 +257,44 @@ def test_margins_are_alike_in_memory_and_in_files(rows, monkeypatch):
         trials, _ = boosting.fit_trials(rows, NAMES, PARAMS[:1], "y", stopping=boosting.Stopping(patience=20, rungs=()))
         grown.append([(t.feature.tolist(), t.value.tolist()) for t in trials[0].trees])
     assert grown[0] == grown[1] and len(grown[0]) == 12
+
+
+def test_neighbouring_leaves_share_a_table(rows, fitted):
+    trials, edges = fitted
+    for t in trials:
+        _, leaves = treeshap.boosted_leaves(boosting.model_of(t, NAMES, edges))
+        tables = treeshap.leaf_tables(leaves, len(NAMES))
+        looked_up = sum(len(table.features) for table in tables)
+        assert looked_up * 2 <= sum(len(path) for _, path in leaves) and max(len(table.tests) for table in tables) <= 8
+
+
+def test_deep_paths_keep_their_intervals(monkeypatch):
+    rng = np.random.default_rng(2)
+    leaves = [(float(rng.standard_normal()), [(f, -0.5, 0.5, float(rng.uniform(0.2, 0.8))) for f in range(4)]) for _ in range(3)]
+    x = rng.standard_normal((50, 5))
+    plain = treeshap.batch_contributions(x, treeshap.leaf_tables(leaves, 5))
+    monkeypatch.setattr(treeshap, "_TESTS", 4)  # eight cuts are too many, four intervals are not
+    tables = treeshap.leaf_tables(leaves, 5)
+    assert all(np.isfinite([lo, hi]).all() for table in tables for _, lo, hi in table.tests)
+    assert np.abs(treeshap.batch_contributions(x, tables) - plain).max() < 1e-12
+
+
+def test_named_drivers_are_averaged_without_a_row_each(rows, fitted):
+    trials, edges = fitted
+    model = boosting.model_of(trials[0], NAMES, edges)
+    told = treeshap.with_drivers(classifier.score(model, rows), NAMES, treeshap.boosted_leaves(model)[1], columns=model.columns())
+    plain = [(r.feature, pytest.approx(r.mean_abs_contribution, abs=1e-12)) for r in explain.global_importance(told, "drivers").collect()]
+    assert [tuple(r) for r in explain.global_importance(told, "drivers", features=NAMES).collect()] == plain and len(plain) == 3
+    assert explain.global_importance(told.limit(0), "drivers", features=NAMES).count() == 0
+    means = explain.global_importance(told, "drivers", features=NAMES)
+    assert means._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1  # of the means alone
+
+
+def test_drivers_rank_by_size_then_name(spark):
+    held = spark.createDataFrame([(0.2, -0.7, 0.2, None, 0.0)], "b double, c double, a double, e double, d double")
+    arrays = [explain.driver_array({n: F.lit(1.23456) for n in held.columns}, {n: F.col(n) for n in held.columns}, plain) for plain in (True, False)]
+    plan = held.select(explain.top_drivers(arrays[0], 5, keyed=True).alias("t"), explain.top_drivers(arrays[0], 2, keyed=True).alias("two"))
+    r = plan.first()
+    assert [d.feature for d in r.t] == ["c", "a", "b", "d", "e"] and r.two == r.t[:2]
+    assert r.two == held.select(explain.top_drivers(arrays[1], 2).alias("t")).first().t and tuple(r.t[0]) == ("c", 1.2346, -0.7, "decreases_risk")
+    assert "lambda" not in plan._jdf.queryExecution().optimizedPlan().toString()  # functions of elements are not compiled
