@@ -12,6 +12,8 @@ from refiscope.operators import boosting, explain, metrics, treeshap
 from refiscope.plans import classifier
 from refiscope.session import scratch_path
 
+from conftest import SF
+
 NAMES = ["a", "b", "c"]
 
 
@@ -298,3 +300,15 @@ def test_drivers_rank_by_size_then_name(spark):
     assert [d.feature for d in r.t] == ["c", "a", "b", "d", "e"] and r.two == r.t[:2]
     assert r.two == held.select(explain.top_drivers(arrays[1], 2).alias("t")).first().t and tuple(r.t[0]) == ("c", 1.2346, -0.7, "decreases_risk")
     assert "lambda" not in plan._jdf.queryExecution().optimizedPlan().toString()  # functions of elements are not compiled
+
+
+def test_a_stressed_portfolio_is_dealt_over_the_cores(spark):
+    from refiscope import catalog
+
+    catalog.load()
+    from refiscope.catalog.risk_queries import portfolio
+
+    dealt = portfolio(spark, SF, dealt=True)
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    columns = ["loan_id", "current_ltv", "current_ltv_at_Tobs", "current_dscr_at_Tobs"]
+    assert dealt.select(columns).exceptAll(portfolio(spark, SF).select(columns)).count() == 0
